@@ -16,6 +16,21 @@ from coverledger.plans.warehouse import Warehouse
 AS_OF = dt.date(2000, 12, 31)
 REINSURANCE_YEARS = (1999, 2000)
 
+# Declared types of the benchmark tables, so that no footer is read to find them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 STATEMENTS = {
     "ins_oplata": """
         SELECT l_orderkey * 10 + l_linenumber AS ins_id, l_orderkey AS anketa_id, l_orderkey AS polis_id,
@@ -195,10 +210,16 @@ class Bridge:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
         """One benchmark table."""
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._sources:
+            reader = self.spark.read
+            if name in SCHEMAS:
+                reader = reader.schema(SCHEMAS[name])
+            self._sources[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self._raw:

@@ -30,18 +30,18 @@ def report_items(body: Column, key: str) -> Column:
     return F.coalesce(items, F.array().cast("array<variant>"))
 
 
-def variant_kind(value: Column) -> Column:
-    """'number', 'array' or 'other' for one VARIANT value; booleans count as numbers."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"), "number")
-        .when(kind.startswith("ARRAY"), "array")
-        .otherwise("other")
-    )
+def is_list(value: Column) -> Column:
+    """True for a VARIANT list with at least one item; looks at the first item only."""
+    return F.try_variant_get(value, "$[0]", "variant").isNotNull()
+
+
+def is_number(value: Column) -> Column:
+    """True for a JSON number or boolean, not for text that looks like one."""
+    return F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
 
 
 def variant_number(value: Column, amount_type: str = AMOUNT) -> Column:
-    """A JSON number or boolean as an amount, text as null."""
-    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int")).otherwise(
-        F.try_variant_get(value, "$", amount_type)
+    """A JSON number or boolean as an amount."""
+    return F.coalesce(
+        F.try_variant_get(value, "$", amount_type), F.try_variant_get(value, "$", "boolean").cast("int").cast(amount_type)
     )

@@ -1,13 +1,14 @@
 """Curated tables: cleaned, typed and joined inputs of the marts.
 
-Every model takes ``raw``, a function from table name to DataFrame. Audit columns
-(``loaded_at``, ``updated_at``) are added when a table is saved, see ``warehouse``.
+Every model takes ``raw``, a function from table name to DataFrame. The wide models
+take the names of the columns wanted, so a mart plans two columns and not 128. Audit
+columns (``loaded_at``, ``updated_at``) are added when a table is saved, see ``warehouse``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,12 +23,19 @@ from coverledger.functions.cleaning import (
     first_filled,
     parse_day_first_date,
 )
-from coverledger.functions.reports import report_body, report_items, report_number, report_text
+from coverledger.functions.reports import report_body, report_number
 from coverledger.operators.asof import with_rate
 from coverledger.operators.lookup import left_join_copies, lookup_value
 from coverledger.sources.landing import column_class, conform
+from coverledger.sources.reports import explode_list
 
 Raw = Callable[[str], DataFrame]
+Columns = Collection[str] | None
+
+
+def _wanted(all_columns: list[str], columns: Columns) -> list[str]:
+    """Layout order, all columns unless some are named."""
+    return [c for c in all_columns if columns is None or c in columns]
 
 
 def _scenario():
@@ -47,8 +55,9 @@ def partner_name(org: str = "tb_orgname", person: str = "tb_name"):
 # ---- landed portfolios -------------------------------------------------------
 
 
-def claims_portfolio(raw: Raw) -> DataFrame:
-    landed = conform(raw("claims_portfolio"), catalog.CLAIMS_COLUMNS)
+def claims_portfolio(raw: Raw, columns: Columns = None) -> DataFrame:
+    names = _wanted(catalog.CLAIMS_COLUMNS, columns)
+    landed = conform(raw("claims_portfolio"), names)
 
     def cleaned(name: str):
         c = F.col(name)
@@ -56,7 +65,7 @@ def claims_portfolio(raw: Raw) -> DataFrame:
             return clean_date(c)
         return clean_numeric(c) if name in catalog.CLAIMS_NUMERIC_COLUMNS else F.trim(c)
 
-    return landed.select(*[cleaned(c).alias(c) for c in catalog.CLAIMS_COLUMNS], _scenario())
+    return landed.select(*[cleaned(c).alias(c) for c in names], _scenario())
 
 
 def _reinsurance(table: DataFrame, columns: list[str]) -> DataFrame:
@@ -72,71 +81,64 @@ def _reinsurance(table: DataFrame, columns: list[str]) -> DataFrame:
     return table.select(*first, *[passed(c).alias(c) for c in columns], _scenario())
 
 
-def reinsurance_incoming(raw: Raw) -> DataFrame:
-    return _reinsurance(raw("reinsurance_incoming_portfolio"), catalog.INCOMING_COLUMNS)
+def reinsurance_incoming(raw: Raw, columns: Columns = None) -> DataFrame:
+    return _reinsurance(raw("reinsurance_incoming_portfolio"), _wanted(catalog.INCOMING_COLUMNS, columns))
 
 
-def reinsurance_outgoing(raw: Raw) -> DataFrame:
-    return _reinsurance(raw("reinsurance_outgoing_portfolio"), catalog.OUTGOING_COLUMNS)
+def reinsurance_outgoing(raw: Raw, columns: Columns = None) -> DataFrame:
+    return _reinsurance(raw("reinsurance_outgoing_portfolio"), _wanted(catalog.OUTGOING_COLUMNS, columns))
 
 
 # ---- JSON reports ------------------------------------------------------------
 
 
-def _coded_report(reports: DataFrame, path: str, codes: dict[str, str]) -> DataFrame:
+def _coded_report(reports: DataFrame, path: str, codes: dict[str, str], columns: Columns) -> DataFrame:
+    names = _wanted(list(codes.values()), columns)
+    code_of = {n: k for k, n in codes.items()}
     bodies = reports.select("report_date", report_body(F.col("payload_json"), path).alias("_body"))
     return bodies.select(
-        "report_date", _scenario(), *[report_number(F.col("_body"), k).alias(n) for k, n in codes.items()]
+        "report_date", _scenario(), *[report_number(F.col("_body"), code_of[n]).alias(n) for n in names]
     )
 
 
-def balance_sheet(raw: Raw) -> DataFrame:
-    return _coded_report(raw("balance_sheet_api_response"), "$.OperationResult.Balance", catalog.BALANCE_SHEET_CODES)
+def balance_sheet(raw: Raw, columns: Columns = None) -> DataFrame:
+    reports = raw("balance_sheet_api_response")
+    return _coded_report(reports, "$.OperationResult.Balance", catalog.BALANCE_SHEET_CODES, columns)
 
 
-def financial_performance(raw: Raw) -> DataFrame:
-    return _coded_report(
-        raw("financial_performance_api_response"), "$.OperationResult", catalog.PERFORMANCE_CODES
-    )
+def financial_performance(raw: Raw, columns: Columns = None) -> DataFrame:
+    reports = raw("financial_performance_api_response")
+    return _coded_report(reports, "$.OperationResult", catalog.PERFORMANCE_CODES, columns)
 
 
 def investment_activity(raw: Raw) -> DataFrame:
     """Bonds, deposits and FX deposits item by item, loans and shares as single amounts.
 
-    All five kinds come out of one pass over the reports.
+    All five kinds come out of one pass over the reports: each report is parsed once,
+    spread to its kinds and then to the items of each list.
     """
     bodies = raw("investment_activity_api_response").select(
         F.col("report_date").cast("date").alias("report_date"),
         report_body(F.col("payload_json"), "$.OperationResult").alias("_body"),
     )
-    body = F.col("_body")
-
-    def row(kind: str, partner, contract, amount):
-        return F.struct(
-            F.lit(kind).alias("investment_type"),
-            partner.cast("string").alias("partner_name"),
-            contract.cast("string").alias("contract"),
-            amount.cast(money.AMOUNT).alias("amount"),
-        )
-
-    def listed(key: str, kind: str):
-        def item(v):
-            return row(
-                kind,
-                F.try_variant_get(v, "$.partner", "string"),
-                F.try_variant_get(v, "$.contract", "string"),
-                report_number(v, "amount"),
-            )
-
-        return F.transform(report_items(body, key), item)
-
-    def single(key: str, kind: str):
-        given = report_text(body, key).isNotNull()
-        return F.filter(F.array(row(kind, F.lit(None), F.lit(None), report_number(body, key))), lambda _: given)
-
-    lists = [listed(k, t) for k, t in catalog.INVESTMENT_LIST_KEYS.items()]
-    singles = [single(k, t) for k, t in catalog.INVESTMENT_SCALAR_KEYS.items()]
-    return bodies.select("report_date", F.inline(F.concat(*lists, *singles)), _scenario())
+    kinds = catalog.INVESTMENT_LIST_KEYS | catalog.INVESTMENT_SCALAR_KEYS
+    parts = [
+        F.struct(F.lit(kind).alias("investment_type"), F.try_variant_get("_body", f"$.{key}", "variant").alias("_part"))
+        for key, kind in kinds.items()
+    ]
+    entries = bodies.select("report_date", F.inline(F.array(*parts))).filter(F.col("_part").isNotNull())
+    listed = F.col("investment_type").isin(list(catalog.INVESTMENT_LIST_KEYS.values()))
+    rows = explode_list(entries, F.when(listed, F.col("_part")))
+    single = ~listed & F.nullif(F.try_variant_get("_part", "$", "string"), F.lit("")).isNotNull()
+    amount = report_number(F.col("_item"), "amount")
+    return rows.filter(single | F.col("_item").isNotNull()).select(
+        "report_date",
+        "investment_type",
+        F.try_variant_get("_item", "$.partner", "string").alias("partner_name"),
+        F.try_variant_get("_item", "$.contract", "string").alias("contract"),
+        F.when(listed, amount).otherwise(F.try_variant_get("_part", "$", money.AMOUNT)).alias("amount"),
+        _scenario(),
+    )
 
 
 def solvency_adequacy_ratio(raw: Raw) -> DataFrame:

@@ -32,7 +32,8 @@ def _zero(name: str):
 
 def financial_kpi(w) -> DataFrame:
     """Return on assets and on equity per report date; null where the base is 0."""
-    fp, bs = w["financial_performance"].alias("fp"), w["balance_sheet"].alias("bs")
+    fp = w.columns("financial_performance", "report_date", "net_profit").alias("fp")
+    bs = w.columns("balance_sheet", "report_date", "total_assets_final", "equity", "retained_earnings").alias("bs")
     profit = F.col("fp.net_profit")
     return fp.join(bs, F.col("fp.report_date") == F.col("bs.report_date"), "inner").select(
         F.col("fp.report_date").alias("report_date"),
@@ -43,18 +44,19 @@ def financial_kpi(w) -> DataFrame:
     )
 
 
-def _monthly_sums(df: DataFrame, date: str, sums: dict[str, str]) -> DataFrame:
+def _monthly_sums(w, name: str, sums: dict[str, str]) -> DataFrame:
     return (
-        df.filter(F.col(date).isNotNull())
-        .groupBy(month_start(F.col(date)).alias("report_month"), "scenario")
+        w.columns(name, "report_date", *sums.values())
+        .filter(F.col("report_date").isNotNull())
+        .groupBy(month_start(F.col("report_date")).alias("report_month"), "scenario")
         .agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     )
 
 
 def insurance_reserves_monthly(w) -> DataFrame:
     sums = _monthly_sums(
-        w["balance_sheet"],
-        "report_date",
+        w,
+        "balance_sheet",
         {
             "upr": "unearned_premium_reserve",
             "ibnr": "ibnr_reserve",
@@ -83,8 +85,8 @@ def insurance_reserves_monthly(w) -> DataFrame:
 
 def operational_efficiency_monthly(w) -> DataFrame:
     sums = _monthly_sums(
-        w["financial_performance"],
-        "report_date",
+        w,
+        "financial_performance",
         {"_f090": "period_expenses", "_f060": "operating_income", "_f140": "financial_income"},
     )
     income = _zero("_f060") + _zero("_f140")
@@ -100,52 +102,70 @@ def operational_efficiency_monthly(w) -> DataFrame:
     )
 
 
-def financial_ratios_monthly(w) -> DataFrame:
-    """Loss, expense, combined and reinsurance ratios on one month spine."""
+def _dated(w, name: str, date: str, *amounts: str) -> DataFrame:
+    """Amounts of a curated model by month, rows without a date left out."""
+    rows = w.columns(name, date, *amounts).filter(F.col(date).isNotNull())
+    return rows.select(month_start(F.col(date)).alias("report_month"), "scenario", *amounts)
+
+
+def _ratio_sources(w) -> list[tuple[DataFrame, dict]]:
+    """Measures behind the ratios, premium aside."""
     balance = _monthly_sums(
-        w["balance_sheet"], "report_date", {"_p610": "rbns_reserve", "_p590": "unearned_premium_reserve"}
+        w, "balance_sheet", {"_p610": "rbns_reserve", "_p590": "unearned_premium_reserve"}
     ).withColumn("_change", change_from_previous("_p590", ["scenario"], "report_month"))
-    month = {"report_month": F.col("report_month"), "scenario": F.col("scenario")}
+    performance = {
+        "premium_f011": "premium_income",
+        "premium_f013": "other_premium_income",
+        "reinsurance_f012": "reinsurance_premium_ceded",
+        "expenses_f070": "costs_of_goods_sold",
+        "expenses_f090": "period_expenses",
+    }
+    return [
+        (balance, {"p610_reserve": F.col("_p610"), "p590_change": F.col("_change")}),
+        (
+            _dated(w, "financial_performance", "report_date", *performance.values()),
+            {n: F.col(c) for n, c in performance.items()},
+        ),
+        (_dated(w, "claims_portfolio", "payout_date", "payout_total"), {"claims_payout": F.col("payout_total")}),
+        (
+            _dated(w, "reinsurance_outgoing", "contract_conclusion_date", "total_accrued_premium_uzs"),
+            {"outward_ceded_premium": F.col("total_accrued_premium_uzs")},
+        ),
+    ]
 
-    def dated(name: str, date: str) -> DataFrame:
-        df = w[name].filter(F.col(date).isNotNull())
-        return df.withColumns({"report_month": month_start(F.col(date)), "scenario": _scenario()})
 
-    merged = merge_measures(
-        [
-            (balance, {"p610_reserve": F.col("_p610"), "p590_change": F.col("_change")}),
-            (
-                dated("financial_performance", "report_date"),
-                {
-                    "premium_f011": F.col("premium_income"),
-                    "premium_f013": F.col("other_premium_income"),
-                    "reinsurance_f012": F.col("reinsurance_premium_ceded"),
-                    "expenses_f070": F.col("costs_of_goods_sold"),
-                    "expenses_f090": F.col("period_expenses"),
-                },
-            ),
-            (dated("claims_portfolio", "payout_date"), {"claims_payout": F.col("payout_total")}),
-            (
-                dated("reinsurance_outgoing", "contract_conclusion_date"),
-                {"outward_ceded_premium": F.col("total_accrued_premium_uzs")},
-            ),
-            (dated("premium_sums", "payment_date"), {"premium_written": F.col("premium_amount")}),
-        ],
-        month,
+def _premium_by_month(w) -> DataFrame:
+    return w["premium_sums"].select(
+        month_start(F.col("payment_date")).alias("report_month"), _scenario(), "premium_amount", "liability_amount"
     )
-    earned = F.col("denominator_net_earned_premium")
-    loss = ratio_or_zero(F.col("claims_payout") + F.col("p610_reserve"), earned) * 100.0
-    expense = ratio_or_zero(F.col("expenses_f070") + F.col("expenses_f090"), earned) * 100.0
-    base = merged.withColumn(
+
+
+def _with_earned_premium(merged: DataFrame) -> DataFrame:
+    return merged.withColumn(
         "denominator_net_earned_premium",
         (F.col("premium_f011") + F.col("premium_f013") - F.col("reinsurance_f012")) - F.col("p590_change"),
     )
-    return base.select(
+
+
+def _loss_ratio():
+    claims = F.col("claims_payout") + F.col("p610_reserve")
+    return ratio_or_zero(claims, F.col("denominator_net_earned_premium")) * 100.0
+
+
+def financial_ratios_monthly(w) -> DataFrame:
+    """Loss, expense, combined and reinsurance ratios on one month spine."""
+    premium = _premium_by_month(w).filter(F.col("report_month").isNotNull())
+    merged = merge_measures(
+        [*_ratio_sources(w), (premium, {"premium_written": F.col("premium_amount")})], ["report_month", "scenario"]
+    )
+    expenses = F.col("expenses_f070") + F.col("expenses_f090")
+    expense = ratio_or_zero(expenses, F.col("denominator_net_earned_premium")) * 100.0
+    return _with_earned_premium(merged).select(
         "report_month",
         "scenario",
-        loss.alias("loss_ratio_pct"),
+        _loss_ratio().alias("loss_ratio_pct"),
         expense.alias("expense_ratio_pct"),
-        (loss + expense).alias("combined_ratio_pct"),
+        (_loss_ratio() + expense).alias("combined_ratio_pct"),
         (ratio_or_zero(F.col("outward_ceded_premium"), F.col("premium_written")) * 100.0).alias("reinsurance_level_pct"),
         "claims_payout",
         "p610_reserve",
@@ -188,18 +208,13 @@ def solvency_quarterly(w) -> DataFrame:
 
 def financial_stability_monthly(w) -> DataFrame:
     """Cash-to-claims per month and the quarter's solvency ratio on each of its months."""
-    claims = w["claims_portfolio"].filter(F.col("payout_date").isNotNull())
-    balance = w["balance_sheet"].filter(F.col("report_date").isNotNull())
     months = merge_measures(
         [
             (
-                balance.withColumn("report_month", month_start(F.col("report_date"))),
+                _dated(w, "balance_sheet", "report_date", "other_long_term_assets_two"),
                 {"cash_and_equivalents_a410": F.col("other_long_term_assets_two")},
             ),
-            (
-                claims.withColumn("report_month", month_start(F.col("payout_date"))),
-                {"total_claims_incurred": F.col("payout_total")},
-            ),
+            (_dated(w, "claims_portfolio", "payout_date", "payout_total"), {"total_claims_incurred": F.col("payout_total")}),
         ],
         ["report_month", "scenario"],
     )
@@ -285,7 +300,7 @@ def bank_partner_performance_monthly(w) -> DataFrame:
         .groupBy(month_start(F.col("commission_date")).alias("report_month"), "partner_id")
         .agg(F.sum("commission_amount_uzs").alias("_sum"))
     )
-    claims = w["claims_portfolio"].select(
+    claims = w.columns("claims_portfolio", "payout_date", "client_name", "payout_total").select(
         month_start(F.col("payout_date")).alias("report_month"),
         F.coalesce("client_name", F.lit(catalog.NO_PARTNER)).alias("bank_partner_name"),
         "payout_total",
@@ -320,35 +335,36 @@ def bank_partner_performance_monthly(w) -> DataFrame:
 
 
 def insurance_operations_monthly(w) -> DataFrame:
-    premium = w["premium_sums"].select(
-        month_start(F.col("payment_date")).alias("report_month"), _scenario(), "premium_amount", "liability_amount"
-    )
+    """Premium, liability, claims, loss ratio and terminations on one month spine.
+
+    Claims and the loss ratio are those of the ratios mart. Where that mart is stored
+    they are read from it; otherwise its measures join the same aggregation, so the
+    payments are scanned once for both.
+    """
     ended = w["terminated_contracts"].select(
         month_start(F.col("termination_date")).alias("report_month"), _scenario(), "terminated_amount"
     )
-    merged = merge_measures(
-        [
-            (
-                premium,
-                {
-                    "insurance_premium_volume_uzs": F.col("premium_amount"),
-                    "insurance_liabilities_volume_uzs": F.col("liability_amount"),
-                },
-            ),
-            (ended, {"terminated_contracts_volume_uzs": F.col("terminated_amount")}),
-            (
-                w["financial_ratios_monthly"],
-                {"insurance_claims_volume_uzs": F.col("claims_payout"), "loss_ratio_pct": F.col("loss_ratio_pct")},
-            ),
-        ],
-        ["report_month", "scenario"],
-    )
+    premium = {
+        "insurance_premium_volume_uzs": F.col("premium_amount"),
+        "insurance_liabilities_volume_uzs": F.col("liability_amount"),
+    }
+    sources = [
+        (_premium_by_month(w), premium),
+        (ended, {"terminated_contracts_volume_uzs": F.col("terminated_amount")}),
+    ]
+    if w.stored("financial_ratios_monthly"):
+        ratios = {"claims_payout": F.col("claims_payout"), "loss_ratio_pct": F.col("loss_ratio_pct")}
+        merged = merge_measures([*sources, (w["financial_ratios_monthly"], ratios)], ["report_month", "scenario"])
+        loss = F.col("loss_ratio_pct")
+    else:
+        merged = _with_earned_premium(merge_measures([*sources, *_ratio_sources(w)], ["report_month", "scenario"]))
+        loss = _loss_ratio()
     return merged.select(
         "report_month",
         "scenario",
         "insurance_premium_volume_uzs",
-        "insurance_claims_volume_uzs",
-        "loss_ratio_pct",
+        F.col("claims_payout").alias("insurance_claims_volume_uzs"),
+        loss.alias("loss_ratio_pct"),
         "insurance_liabilities_volume_uzs",
         "terminated_contracts_volume_uzs",
     )
@@ -370,8 +386,7 @@ def reinsurance_monthly(w) -> DataFrame:
     """Premium ceded and assumed per month and the ceded level against written premium."""
 
     def by_month(name: str) -> DataFrame:
-        df = w[name].filter(F.col("contract_conclusion_date").isNotNull())
-        return df.withColumn("report_month", month_start(F.col("contract_conclusion_date")))
+        return _dated(w, name, "contract_conclusion_date", "total_accrued_premium_uzs")
 
     amount = F.col("total_accrued_premium_uzs")
     volumes = merge_measures(
@@ -394,13 +409,14 @@ def reinsurance_monthly(w) -> DataFrame:
     )
 
 
-def _reinsurance_years(w, keys: dict[str, tuple]) -> DataFrame:
+def _reinsurance_years(w, keys: dict[str, tuple], read: list[tuple[str, ...]]) -> DataFrame:
     """Ceded and assumed premium of two years side by side, in billions, with the change in %."""
     first, second = w.reinsurance_years
     names = list(keys)
 
     def source(table: str, side: int, prefix: str):
-        df = w[table].filter(F.col("contract_conclusion_date").isNotNull())
+        df = w.columns(table, "contract_conclusion_date", "total_accrued_premium_uzs", *read[side])
+        df = df.filter(F.col("contract_conclusion_date").isNotNull())
         df = df.withColumns({k: exprs[side] for k, exprs in keys.items()})
         year = F.year("contract_conclusion_date")
         amounts = {
@@ -423,14 +439,15 @@ def _reinsurance_years(w, keys: dict[str, tuple]) -> DataFrame:
 def reinsurance_indicators(w) -> DataFrame:
     kind = first_filled(F.col("insurance_type"), default="Unknown")
     category = first_filled(F.col("voluntary_insurance_type"), F.col("mandatory_insurance_type"), default="N/A")
-    return _reinsurance_years(w, {"insurance_type": (kind, kind), "category": (category, category)})
+    read = ("insurance_type", "voluntary_insurance_type", "mandatory_insurance_type")
+    return _reinsurance_years(w, {"insurance_type": (kind, kind), "category": (category, category)}, [read, read])
 
 
 def reinsurance_indicators_reinsurer(w) -> DataFrame:
     """Keyed by reinsurer; on the assumed side that is the policyholder."""
     ceded = first_filled(F.col("reinsurer"), default="Unknown")
     assumed = first_filled(F.col("policyholder"), default="Unknown")
-    return _reinsurance_years(w, {"reinsurer": (ceded, assumed)})
+    return _reinsurance_years(w, {"reinsurer": (ceded, assumed)}, [("reinsurer",), ("policyholder",)])
 
 
 # ---- investments -------------------------------------------------------------

@@ -115,6 +115,13 @@ class Warehouse:
                 self._models[name] = (CURATED.get(name) or COMPACT[name])(self.raw)
         return self._models[name]
 
+    def columns(self, name: str, *columns: str) -> DataFrame:
+        """Some columns (and the scenario) of a wide curated model; its dates and amounts
+        that no one reads are then never planned."""
+        if name in self._models:
+            return self._models[name].select(*columns, "scenario")
+        return CURATED[name](self.raw, columns).select(*columns, "scenario")
+
     def stored(self, name: str) -> bool:
         return name in self._stored
 

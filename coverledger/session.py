@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Only possible when a session is built: recording the Python call site of every column
+# costs more than planning a small query.
+BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings that are still at Spark's default."""

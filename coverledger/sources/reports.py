@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from coverledger.functions.reports import report_body, variant_kind, variant_number
+from coverledger.functions.reports import is_list, is_number, report_body, variant_number
 from coverledger.functions.money import AMOUNT
 from coverledger.operators.upsert import latest_wins, upsert
 
@@ -19,13 +19,23 @@ def upsert_reports(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return upsert(stored, incoming, ["report_date"], ["ingested_at", "payload_json"])
 
 
+def explode_list(rows: DataFrame, value: Column, name: str = "_item") -> DataFrame:
+    """One row per item of a VARIANT list; a row whose value is no list stays once with a null item."""
+    exploded = rows.withColumn("_list", value).lateralJoin(
+        rows.sparkSession.tvf.variant_explode_outer(F.col("_list").outer())
+    )
+    kept = exploded.filter(F.coalesce(F.col("pos"), F.lit(0)).eqNullSafe(0) | F.col("key").isNull())
+    item = F.when(F.col("key").isNull(), F.col("value"))
+    return kept.select(*[F.col(c) for c in rows.columns], item.alias(name))
+
+
 def _entries(reports: DataFrame, path: str) -> DataFrame:
-    spark = reports.sparkSession
+    """Every key of the reports with its value, but the status key."""
     bodies = reports.select("report_date", report_body(F.col("payload_json"), path).alias("_body"))
     return (
-        bodies.lateralJoin(spark.tvf.variant_explode(F.col("_body").outer()))
+        bodies.lateralJoin(reports.sparkSession.tvf.variant_explode(F.col("_body").outer()))
         .filter(F.col("key").isNotNull() & (F.col("key") != "Result"))
-        .select("report_date", "key", "value", variant_kind(F.col("value")).alias("_kind"))
+        .select("report_date", F.col("key").alias("code"), F.col("value").alias("_value"))
     )
 
 
@@ -33,8 +43,8 @@ def code_rows(reports: DataFrame, path: str = "$.OperationResult") -> DataFrame:
     """Code and amount pairs as rows; entries that are not numbers are left out."""
     return (
         _entries(reports, path)
-        .filter(F.col("_kind") == "number")
-        .select("report_date", F.col("key").alias("code"), variant_number(F.col("value")).alias("amount"))
+        .filter(is_number(F.col("_value")))
+        .select("report_date", "code", variant_number(F.col("_value")).alias("amount"))
     )
 
 
@@ -43,26 +53,19 @@ def investment_rows(reports: DataFrame, path: str = "$.OperationResult") -> Data
 
     An item without an amount counts as 0; an amount that is not a number is null.
     """
-    wrapped = _entries(reports, path).filter(F.col("_kind").isin("number", "array"))
-    single = F.array(
-        F.struct(
-            F.lit(None).cast("string").alias("partner"),
-            F.lit(None).cast("string").alias("contract"),
-            variant_number(F.col("value")).alias("amount"),
-        )
-    )
-    items = F.transform(
-        F.try_variant_get("value", "$", "array<variant>"),
-        lambda v: F.struct(
-            F.try_variant_get(v, "$.partner", "string").alias("partner"),
-            F.try_variant_get(v, "$.contract", "string").alias("contract"),
-            F.when(F.try_variant_get(v, "$.amount", "variant").isNull(), F.lit(0).cast(AMOUNT))
-            .otherwise(F.try_variant_get(v, "$.amount", AMOUNT))
-            .alias("amount"),
-        ),
+    entries = _entries(reports, path)
+    listed = is_list(F.col("_value"))
+    rows = explode_list(entries, F.when(listed, F.col("_value")))
+    item_amount = F.when(
+        F.try_variant_get("_item", "$.amount", "variant").isNull(), F.lit(0).cast(AMOUNT)
+    ).otherwise(F.try_variant_get("_item", "$.amount", AMOUNT))
+    return rows.filter(F.col("_item").isNotNull() | (~listed & is_number(F.col("_value")))).select(
+        "report_date",
+        F.col("code").alias("category"),
+        F.try_variant_get("_item", "$.partner", "string").alias("partner"),
+        F.try_variant_get("_item", "$.contract", "string").alias("contract"),
+        F.when(F.col("_item").isNotNull(), item_amount).otherwise(variant_number(F.col("_value"))).alias("amount"),
     )
-    rows = F.when(F.col("_kind") == "number", single).otherwise(items)
-    return wrapped.select("report_date", F.col("key").alias("category"), F.inline(rows))
 
 
 def upsert_codes(stored: DataFrame, incoming: DataFrame) -> DataFrame:
