@@ -84,25 +84,24 @@ def column_class(name: str) -> str:
     return "string"
 
 
-def clean_typed(c: Column, name: str) -> Column:
-    """One landed value by the class of its column; a bad value is null.
+def clean_typed(text: Column, name: str) -> Column:
+    """One stripped text value by the class of its column; a bad value is null.
 
     Numbers are read as a whole (no partial reads) and integers are truncated.
     """
     kind = column_class(name)
-    text = strip_to_null(c)
     if kind == "date":
         return clean_date(text)
     if kind == "int":
         number = text.try_cast("double")
         return F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("int")
-    if kind == AMOUNT:
-        return text.try_cast(AMOUNT)
-    return text
+    return text.try_cast(AMOUNT) if kind == AMOUNT else text
 
 
 def clean_typed_table(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*keep, *[clean_typed(F.col(c), c).alias(c) for c in columns])
+    """Strip every value once, then read it by the class of its column."""
+    stripped = df.select(*keep, *[strip_to_null(F.col(c)).alias(c) for c in columns])
+    return stripped.select(*keep, *[clean_typed(F.col(c), c).alias(c) for c in columns])
 
 
 def clean_text_table(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

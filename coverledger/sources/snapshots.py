@@ -99,9 +99,6 @@ def stamp_load(rows: DataFrame, now: dt.datetime, stored: DataFrame | None = Non
 
 def month_end_calendar(spark: SparkSession, start: dt.date, today: dt.date) -> DataFrame:
     """Month ends from the start month through the current month, for back-filling reports."""
-    months = F.sequence(
-        F.trunc(F.lit(start), "MM"), F.trunc(F.lit(today), "MM"), F.expr("INTERVAL 1 MONTH")
-    )
-    return spark.range(1).filter(F.lit(start) <= F.last_day(F.lit(today))).select(
-        F.explode(F.transform(months, F.last_day)).alias("report_date")
-    )
+    n_months = (today.year - start.year) * 12 + today.month - start.month + 1
+    months = spark.range(max(n_months, 0)).select(F.add_months(F.lit(start), F.col("id").cast("int")).alias("_month"))
+    return months.select(F.last_day("_month").alias("report_date"))
