@@ -162,8 +162,8 @@ def policies_in_force(raw: Raw) -> DataFrame:
 def general_premium_rows(raw: Raw) -> DataFrame:
     """Payments of types 1 (any but 3) and 22 (type 3, bank payment status 2).
 
-    Both kinds need the same joins, so one pass serves them: the bank payment first,
-    then the contract, whose key also serves the policy check without another shuffle.
+    Both kinds need the same joins, so one pass serves them. The policy check and the
+    contract come first: both use the contract key, so one shuffle serves both.
     """
     payments = raw("ins_oplata").filter(F.col("ins_type").isNotNull()).select(
         "anketa_id", "bc_id", "ins_type", "opl_val", "opl_data", "oplata", "opl_summa", "val_kurs"
@@ -172,12 +172,12 @@ def general_premium_rows(raw: Raw) -> DataFrame:
         F.col("ins_id").alias("_bank_id"), F.col("pym_date").cast("date").alias("payment_date"), F.col("status").alias("_status")
     )
     contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv")
-    linked = with_rate(payments, raw("ins_kurs"), "opl_val", "opl_data")
+    linked = payments.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
+    linked = linked.join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
+    linked = with_rate(linked, raw("ins_kurs"), "opl_val", "opl_data")
     linked = linked.join(
         bank, (F.col("bc_id") == F.col("_bank_id")) & ((F.col("ins_type") != 3) | (F.col("_status") == 2)), "inner"
     )
-    linked = linked.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
-    linked = linked.join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
     ordinary = F.col("ins_type") != 3
     bank_linked_premium = money.convert(
         F.col("opl_val"), F.col("oplata"), F.col("oplata"), money.rate_or_one(F.col("val_kurs"))
@@ -256,12 +256,13 @@ def premium_sums(raw: Raw) -> DataFrame:
     return general_premium_rows(raw).unionByName(motor_liability_sums(raw))
 
 
-def premium_total(raw: Raw, start: dt.date, end: dt.date) -> DataFrame:
+def premium_total(raw: Raw, start: dt.date, end: dt.date, registry_keys_unique: bool = False) -> DataFrame:
     """Converted payment and liability sums of a payment period.
 
     The rate depends on currency and day only, so amounts are summed per currency and
-    day before the rate lookup. The policy, act and partner joins of the original
-    report filter nothing; they count where their keys repeat, so their row counts do.
+    day before the rate lookup. The report also left joins policies, acts and partners,
+    which only repeat rows where their keys repeat: those repeats are counted, not
+    joined, and with keys proven unique the three lookups are skipped.
     """
     payments = raw("ins_oplata").filter(F.col("ins_type") != 3).select(
         "anketa_id", "polis_id", "bc_id", "akt", "opl_val", "opl_data", "oplata", "opl_summa"
@@ -269,30 +270,26 @@ def premium_total(raw: Raw, start: dt.date, end: dt.date) -> DataFrame:
     bank = raw("ins_bank_client").filter((F.col("pym_date") >= start) & (F.col("pym_date") < end)).select(
         F.col("ins_id").alias("_bank_id")
     )
-    partners = left_join_copies(raw("ins_kontragent"), "tb_id").select(
-        F.col("tb_id").alias("_partner"), F.col("copies").alias("_partner_copies")
-    )
     contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv", "owner")
-    policies = left_join_copies(raw("ins_polis"), "tb_id").select(
-        F.col("tb_id").alias("_policy"), F.col("copies").alias("_policy_copies")
-    )
-    acts = left_join_copies(raw("ins_agent_akt").filter(F.col("active") == 2), "ins_id").select(
-        F.col("ins_id").alias("_act"), F.col("copies").alias("_act_copies")
-    )
     rows = (
-        payments.join(bank, F.col("bc_id") == F.col("_bank_id"), "inner")
-        .join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
+        payments.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
         .join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
-        .join(partners, F.col("owner") == F.col("_partner"), "left")
-        .join(policies, F.col("polis_id") == F.col("_policy"), "left")
-        .join(acts, F.col("akt") == F.col("_act"), "left")
+        .join(bank, F.col("bc_id") == F.col("_bank_id"), "inner")
     )
     copies = F.lit(1).cast("bigint")
-    for name in ("_partner_copies", "_policy_copies", "_act_copies"):
-        copies = copies * F.coalesce(F.col(name), F.lit(1))
+    if not registry_keys_unique:
+        chain = {
+            "owner": (raw("ins_kontragent"), "tb_id"),
+            "polis_id": (raw("ins_polis"), "tb_id"),
+            "akt": (raw("ins_agent_akt").filter(F.col("active") == 2), "ins_id"),
+        }
+        for link, (table, key) in chain.items():
+            counts = left_join_copies(table, key).select(F.col(key).alias(f"_{link}"), F.col("copies").alias(f"_{link}_copies"))
+            rows = rows.join(counts, F.col(link) == F.col(f"_{link}"), "left")
+            copies = copies * F.coalesce(F.col(f"_{link}_copies"), F.lit(1))
 
     def times(c: str):
-        return F.sum(money.amount_or_zero(F.col(c)) * copies.cast("decimal(11,0)")).cast(money.AMOUNT).alias(c)
+        return F.sum(_times(money.amount_or_zero(F.col(c)), copies)).cast(money.AMOUNT).alias(c)
 
     sums = rows.groupBy("opl_val", "opl_data").agg(times("oplata"), times("opl_summa"), times("ins_otv"))
     rated = with_rate(sums, raw("ins_kurs"), "opl_val", "opl_data")
@@ -318,9 +315,9 @@ def commission_rows(raw: Raw) -> DataFrame:
     contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "fizyur", "owner")
     payments = raw("ins_oplata").select("ins_id", "anketa_id", "akt", "opl_val", "kommis_summa", "val_kurs")
     general = (
-        payments.join(acts, F.col("akt") == F.col("_act"), "inner")
-        .join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
+        payments.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
         .join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
+        .join(acts, F.col("akt") == F.col("_act"), "inner")
         .select(
             F.col("ins_id").alias("transaction_id"),
             "commission_date",

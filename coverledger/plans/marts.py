@@ -567,9 +567,9 @@ def volume_premiums(w) -> DataFrame:
     ordinary = F.col("ins_type") != 3
     rate = money.rate_or_one(F.col("val_kurs"))
     linked = (
-        payments.join(bank, (F.col("bc_id") == F.col("_bank_id")) & (ordinary | (F.col("_status") == 2)), "inner")
-        .join(curated.policies_in_force(w.raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
+        payments.join(curated.policies_in_force(w.raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
         .join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
+        .join(bank, (F.col("bc_id") == F.col("_bank_id")) & (ordinary | (F.col("_status") == 2)), "inner")
         .join(policies, F.col("polis_id") == F.col("_policy"), "inner")
     )
     foreign_premium = F.when(ordinary, F.col("opl_summa")).otherwise(F.col("oplata"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from coverledger.operators.ordering import report_order
 from coverledger.plans import curated, marts
+from coverledger.sources.sinks import read_snapshot_table, write_snapshot
 
 # Model name -> builder. Curated builders read raw tables, marts read the warehouse.
 CURATED: dict[str, Callable] = {
@@ -138,8 +139,8 @@ class Warehouse:
         audited = model.withColumn("updated_at", F.current_timestamp())
         if name in CURATED:
             audited = audited.withColumn("loaded_at", F.current_timestamp())
-        audited.write.mode("overwrite").parquet(path)
-        self._models[name] = model.sparkSession.read.parquet(path).select(*model.columns)
+        write_snapshot(audited, path)
+        self._models[name] = read_snapshot_table(model.sparkSession, path, model.schema)
         self._stored.add(name)
         return self._models[name]
 

@@ -7,19 +7,21 @@ common types, so they can be compared value by value with another engine.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from coverledger import catalog
-from coverledger.bridge import AS_OF, Bridge
+from coverledger.bridge import AS_OF, SCHEMAS, Bridge
 from coverledger.functions import cleaning, dates, money, ratios, reports as json_values
 from coverledger.operators import active, asof, lookup, merge, ordering, quality, upsert, windows
 from coverledger.plans import curated, marts
 from coverledger.plans.warehouse import CURATED, MARTS, report_sort
-from coverledger.session import tune
+from coverledger.session import checkpoint_dir, tune
 from coverledger.sources import landing, reports, sinks, snapshots
+from coverledger.streaming import loads
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -846,3 +848,20 @@ def _(b: Bridge) -> DataFrame:
 @query("q03_premium_total")
 def _(b: Bridge) -> DataFrame:
     return curated.premium_total(b, dt.date(2000, 1, 1), dt.date(2000, 4, 1))
+
+
+# ---- streaming ---------------------------------------------------------------
+
+
+@query("t02_latest_per_date")
+def _(b: Bridge) -> DataFrame:
+    """Events as a file stream, kept at the newest event of each day.
+
+    Table and stream state go to a new folder of the session's checkpoint folder.
+    """
+    root = f"{checkpoint_dir(b.spark, '/tmp/coverledger-checkpoints')}/latest-per-date-{uuid.uuid4().hex}"
+    # A glob, because a stream takes a folder or a pattern and the table may be one file.
+    events = b.spark.readStream.schema(SCHEMAS["events"]).parquet(f"{b.sf_dir}/[e]vents.parquet")
+    rows = events.select(F.to_date("ts").alias("report_date"), "event_id", "ts", "user_id", "event_type")
+    loads.latest_per_date_stream(rows, f"{root}/table", f"{root}/state", ["ts", "event_id"]).awaitTermination()
+    return b.spark.read.parquet(f"{root}/table")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -34,11 +34,31 @@ def write_batch(frames: list[DataFrame], path: str, append: bool = False) -> Non
 
 
 def write_slices(df: DataFrame, path: str, by: str) -> None:
-    """Replace exactly the slices present in the rows and leave all others untouched."""
-    (
-        df.repartition(F.col(by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .parquet(path)
-    )
+    """Replace exactly the slices present in the rows and leave all others untouched.
+
+    Files are gathered per slice with a rebalance, which splits a slice too large for
+    one task. The new files take the place of the old ones when the job commits, so a
+    failed run leaves the stored slices as they were.
+    """
+    _replace(df.hint("rebalance", F.col(by)), path, by)
+
+
+def write_snapshot(df: DataFrame, path: str) -> None:
+    """Replace a whole table at commit, as one slice; a failed run leaves the old rows.
+
+    An empty table has no slice to put in place of the old one, so it clears the folder.
+    """
+    rows = df.withColumn("snapshot", F.lit("current"))
+    if rows.isEmpty():
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot").parquet(path)
+    else:
+        _replace(rows, path, "snapshot")
+
+
+def _replace(df: DataFrame, path: str, by: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def read_snapshot_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Columns of a stored table; the schema is given, since an empty table has no files."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 TEXT_TYPES = ("VARCHAR2", "CHAR", "NVARCHAR2", "CLOB")
 MOMENT_TYPES = ("DATE", "TIMESTAMP")
+STAMPS = T.StructType(
+    [T.StructField("etl_uploaded_date", T.TimestampNTZType()), T.StructField("etl_updated_date", T.TimestampNTZType())]
+)
 
 
 def catalog_type(name: str, precision: int | None = None, scale: int | None = None) -> T.DataType:

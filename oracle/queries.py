@@ -461,6 +461,9 @@ _QUERIES = {
         "premium_total liability_total liability_unconverted",
     ),
 }
+_QUERIES["t02_latest_per_date"] = """SELECT report_date, event_id, ts, user_id, event_type FROM (
+    SELECT *, CAST(ts AS DATE) AS report_date, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n
+    FROM events) t WHERE n = 1"""
 
 
 def oracle_sql() -> dict[str, str]:
