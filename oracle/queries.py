@@ -129,7 +129,157 @@ _MODEL_QUERIES = {
     "m15_insurance_volume_indicators": ("q_volume", _VOLUME_DEC, _VOLUME_DBL),
 }
 
-_IN_FORCE = "EXISTS (SELECT 1 FROM ins_polis x WHERE x.tb_status IN (2, 9, 10) AND x.tb_anketa = o.anketa_id)"
+_IN_FORCE = "o.anketa_id IN (SELECT tb_anketa FROM q_in_force)"
+_SPARSE = """SELECT l_returnflag AS source_name, CASE WHEN l_linenumber % 2 = 0 THEN l_orderkey END AS a,
+    CASE WHEN l_linenumber % 3 = 0 THEN l_linestatus END AS b, CASE WHEN l_quantity > 25 THEN l_partkey END AS c FROM lineitem"""
+_EMPTY = "a IS NULL AND b IS NULL AND c IS NULL"
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(13)"
+_MAPPED = {"record_id": "CAST(l_orderkey AS VARCHAR)", "branch_name": "l_returnflag",
+           "insurance_type": "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_linestatus END",
+           "payout_date": "substr(CAST(l_shipdate AS VARCHAR), 1, 10)",
+           "payout_total": "CAST(CAST(l_extendedprice AS DECIMAL(22,2)) AS VARCHAR)"}
+_S05_TEXT = """
+    SELECT l_orderkey AS row_key,
+           CASE l_linenumber % 3 WHEN 0 THEN substr(CAST(l_shipdate AS VARCHAR), 1, 10) WHEN 1 THEN '02.01.2025' ELSE '2025' END AS d,
+           CASE l_linenumber % 4 WHEN 0 THEN concat(CAST(l_partkey AS VARCHAR), '.7') WHEN 1 THEN concat('-', CAST(l_partkey AS VARCHAR), '.7')
+                WHEN 2 THEN 'x1' ELSE CAST(l_partkey AS VARCHAR) END AS i,
+           CASE l_linenumber % 4 WHEN 0 THEN concat(' ', CAST(CAST(l_extendedprice AS DECIMAL(22,2)) AS VARCHAR), ' ') WHEN 1 THEN '1 234,56'
+                WHEN 2 THEN concat(CAST(l_partkey AS VARCHAR), ' UZS') ELSE CAST(l_partkey AS VARCHAR) END AS n,
+           CASE l_linenumber % 3 WHEN 0 THEN '  ' WHEN 1 THEN concat('  ', l_returnflag) ELSE NULL END AS t
+    FROM lineitem"""
+_FP_CODES = f"""SELECT r.report_date, e.key AS code, CAST(e.value AS {A}) AS amount
+    FROM financial_performance_api_response r, json_each(r.payload_json, '$.OperationResult') e
+    WHERE e.key <> 'Result' AND e.type IN ('UBIGINT', 'BIGINT', 'DOUBLE')"""
+_PRICE = f"""SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month,
+    sum(CAST(o_totalprice AS {A})) AS amount FROM orders GROUP BY 1, 2"""
+_PARTNER = "coalesce(nullif(trim(tb_orgname), ''), nullif(trim(tb_name), ''))"
+
+
+def _product_sum(table: str, key: str, date: str, amount: str, name: str) -> str:
+    return f"""(SELECT year({date}) AS report_year, p.pturi_id, sum({amount}) AS {name}
+        FROM {table} t LEFT JOIN ins_polis p ON t.{key} = p.tb_id GROUP BY 1, 2)"""
+
+
+_PREM = _product_sum("ins_oplata", "polis_id", "opl_data", "oplata", "premium")
+_CLAIM = _product_sum("ins_viplati", "sobitie_id", "date_viplata", "viplate", "claims")
+_TERM = _product_sum("ins_rastorg", "tb_polis", "tb_dateras", "tb_summa", "terminated")
+
+
+def _month_sum(table: str, date: str, amount: str, name: str) -> str:
+    return f"(SELECT CAST(date_trunc('month', {date}) AS DATE) AS report_month, sum({amount}) AS {name} FROM {table} GROUP BY 1)"
+
+
+_PAID = _month_sum("ins_oplata", "opl_data", "oplata", "paid")
+_BANKED = _month_sum("ins_bank_client", "pym_date", "pym_summa", "banked")
+_ENDED = _month_sum("ins_rastorg", "tb_dateras", "tb_summa", "terminated")
+
+
+def _by_start(table: str, date: str, amount: str, name: str) -> str:
+    return f"(SELECT CAST(date_trunc('month', {date}) AS DATE) AS report_month, client_id, sum({amount}) AS {name} FROM {table} GROUP BY 1, 2)"
+
+
+_MOTOR = "SELECT * FROM q_motor"
+
+_QUERIES = {
+    "c01_claims_portfolio": ("q_claims", " ".join(catalog.CLAIMS_NUMERIC_COLUMNS), ""),
+    "c02_reinsurance_incoming": (
+        "q_incoming",
+        " ".join(c for c in catalog.INCOMING_COLUMNS if c in catalog.REINSURANCE_NUMERIC_COLUMNS),
+        "",
+    ),
+    "c03_reinsurance_outgoing": (
+        "q_outgoing",
+        " ".join(c for c in catalog.OUTGOING_COLUMNS if c in catalog.REINSURANCE_NUMERIC_COLUMNS),
+        "",
+    ),
+    "c04_balance_sheet": ("q_balance", " ".join(catalog.BALANCE_SHEET_CODES.values()), ""),
+    "c05_financial_performance": ("q_performance", " ".join(catalog.PERFORMANCE_CODES.values()), ""),
+    "c06_investment_activity": ("q_investment", "amount", ""),
+    "c07_insurance_premium": ("q_premium", "premium_amount liability_amount", ""),
+    "c08_agency_commissions": ("q_commission", "commission_amount_uzs", ""),
+    "c09_subrogation_recoveries": ("q_recovery", "total_recovery_amount exact_recovery_amount undefined_recovery_amount", ""),
+    "c10_terminated_contracts": (
+        "q_terminated",
+        "terminated_amount returned_amount remainder_amount returned_sum retention_amount",
+        "",
+    ),
+    "c11_deposits": ("q_deposits", "deposit_amount", ""),
+    "c12_loans": ("q_loans", "loan_amount paid_amount payable_amount remaining_balance", "repayment_progress_pct"),
+    "c13_product_dimension": ("q_products", "", ""),
+    "c14_solvency_adequacy_ratio": (
+        "q_solvency",
+        "actual_solvency_margin_adequacy_ratio required_solvency_margin_adequacy_ratio",
+        "",
+    ),
+    "m01_financial_kpi": ("q_kpi", "net_profit", "roa roe"),
+    "m02_agency_commissions_monthly": (
+        "q_commission_monthly",
+        "total_commission_volume_uzs legal_entity_commission_volume_uzs individual_commission_volume_uzs",
+        "",
+    ),
+    "m03_bank_partner_performance_monthly": (
+        "q_bank",
+        "insurance_premium_volume_uzs agency_commission_volume_uzs insurance_claims_volume_uzs recovery_from_bank_uzs "
+        "insurance_profit_volume_uzs avg_recovery_processing_time_days",
+        "",
+    ),
+    "m04_financial_ratios_monthly": (
+        "q_ratios",
+        _RATIO_DEC,
+        "loss_ratio_pct expense_ratio_pct combined_ratio_pct reinsurance_level_pct",
+    ),
+    "m05_financial_stability_monthly": (
+        "q_stability",
+        "cash_and_equivalents_a410 total_claims_incurred solvency_margin_adequacy_ratio_actual "
+        "solvency_margin_adequacy_ratio_required",
+        "cash_to_claims_ratio_actual cash_to_claims_ratio_required",
+    ),
+    "m06_insurance_operations_monthly": (
+        "q_operations",
+        "insurance_premium_volume_uzs insurance_claims_volume_uzs insurance_liabilities_volume_uzs terminated_contracts_volume_uzs",
+        "loss_ratio_pct",
+    ),
+    "m07_insurance_reserves_monthly": (
+        "q_reserves",
+        "upr ibnr rbns calculated_p580_check stabilization_reserve total_assets total_reserves_denominator",
+        "allocated_assets_to_reserves_pct",
+    ),
+    "m08_investment_portfolio_monthly": (
+        "q_portfolio",
+        "total_investment_portfolio_volume_uzs total_investment_category_amount_uzs "
+        "total_investment_income_portfolio_volume_uzs total_investment_income_category_amount_uzs",
+        "total_investment_category_pct total_investment_income_category_pct",
+    ),
+    "m09_investment_partner_indicators_monthly": ("q_partners", "portfolio_amount_uzs income_amount_uzs", ""),
+    "m10_operational_efficiency_monthly": (
+        "q_efficiency",
+        "operating_expenses_sum operating_income_sum total_expenses_f090 total_revenue_f060 financial_income_f140",
+        "cir_pct",
+    ),
+    "m11_reinsurance_monthly": (
+        "q_reinsurance",
+        "incoming_reinsurance_volume_uzs outgoing_reinsurance_volume_uzs",
+        "reinsurance_level_pct",
+    ),
+    "m12_reinsurance_indicators": (
+        "q_type_years",
+        _YEARS.format("outgoing") + " " + _YEARS.format("incoming"),
+        "outgoing_pct_change_yoy incoming_pct_change_yoy",
+    ),
+    "m13_reinsurance_indicators_reinsurer": (
+        "q_who_years",
+        _YEARS.format("outgoing") + " " + _YEARS.format("incoming"),
+        "outgoing_pct_change_yoy incoming_pct_change_yoy",
+    ),
+    "m14_subrogation_indicators_monthly": (
+        "q_recovery_monthly",
+        "total_subrogation_volume_uzs exact_subrogation_volume_uzs undefined_subrogation_volume_uzs",
+        "",
+    ),
+    "m15_insurance_volume_indicators": ("q_volume", _VOLUME_DEC, _VOLUME_DBL),
+}
+
+_IN_FORCE = "o.anketa_id IN (SELECT tb_anketa FROM q_in_force)"
 _SPARSE = """SELECT l_returnflag AS source_name, CASE WHEN l_linenumber % 2 = 0 THEN l_orderkey END AS a,
     CASE WHEN l_linenumber % 3 = 0 THEN l_linestatus END AS b, CASE WHEN l_quantity > 25 THEN l_partkey END AS c FROM lineitem"""
 _EMPTY = "a IS NULL AND b IS NULL AND c IS NULL"
@@ -451,13 +601,11 @@ _QUERIES = {
     "q01_unique": "SELECT ins_id, count(*) AS n_records FROM ins_oplata WHERE ins_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "q02_not_null": "SELECT ins_id FROM ins_bank_client WHERE pym_date IS NULL",
     "q03_premium_total": finish(
-        f"""SELECT sum(CASE WHEN o.opl_val = 1 THEN coalesce(o.oplata, 0) ELSE coalesce(o.opl_summa, 0) * o.rate END) AS premium_total,
-        sum(CASE WHEN o.opl_val = 1 THEN coalesce(a.ins_otv, 0) ELSE coalesce(a.ins_otv, 0) * o.rate END) AS liability_total,
-        sum(a.ins_otv) AS liability_unconverted
-        FROM q_payment_rate o LEFT JOIN ins_anketa a ON a.ins_id = o.anketa_id LEFT JOIN ins_polis po ON po.tb_id = o.polis_id
-        LEFT JOIN ins_bank_client bc ON o.bc_id = bc.ins_id LEFT JOIN ins_agent_akt akt ON akt.ins_id = o.akt AND akt.active = 2
-        LEFT JOIN ins_kontragent k ON a.owner = k.tb_id
-        WHERE o.ins_type <> 3 AND {_IN_FORCE} AND bc.pym_date >= DATE '2000-01-01' AND bc.pym_date < DATE '2000-04-01'""",
+        """SELECT sum(premium_amount) AS premium_total, sum(liability_amount) AS liability_total,
+            (SELECT sum(contract.ins_otv) FROM ins_oplata o JOIN ins_bank_client bank ON bank.ins_id = o.bc_id
+             JOIN ins_anketa contract ON contract.ins_id = o.anketa_id WHERE o.ins_type <> 3 AND bank.pym_date >= DATE '2000-01-01'
+             AND bank.pym_date < DATE '2000-04-01' AND o.anketa_id IN (SELECT tb_anketa FROM q_in_force)) AS liability_unconverted
+        FROM q_premium WHERE source_query_id = 1 AND payment_date >= DATE '2000-01-01' AND payment_date < DATE '2000-04-01'""",
         "premium_total liability_total liability_unconverted",
     ),
 }

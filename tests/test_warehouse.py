@@ -122,3 +122,41 @@ def test_warehouse_years():
     w = Warehouse(lambda name: None, AS_OF)
     assert (w.prior_year, w.current_year, w.last_month) == (1999, 2000, dt.date(2000, 12, 31))
     assert w.reinsurance_years == (2024, 2025) and REINSURANCE_YEARS == (1999, 2000)
+
+
+def test_products_without_a_name_stay_apart(spark):
+    """Unnamed products match neither across measures nor across years."""
+    dec, day = Decimal, dt.datetime
+    t = {
+        "ins_oplata": spark.createDataFrame(
+            [(1, 1, 1, 1, 1, dec(10), dec(0), None), (2, 2, 2, 1, 1, dec(20), dec(0), None), (3, 3, 3, 3, 2, dec(5), dec(0), dec(2))],
+            "anketa_id int, polis_id int, bc_id int, ins_type int, opl_val int, oplata decimal(22,4), opl_summa decimal(22,4), val_kurs decimal(22,4)"),
+        "ins_bank_client": spark.createDataFrame(
+            [(1, day(1999, 5, 1), 2), (2, day(2000, 12, 31, 23), 1), (3, day(2000, 1, 1), 2), (4, day(2001, 1, 1), 2)],
+            "ins_id int, pym_date timestamp_ntz, status int"),
+        "ins_anketa": spark.createDataFrame([(1, dec(100)), (3, dec(7))], "ins_id int, ins_otv decimal(22,4)"),
+        "ins_polis": spark.createDataFrame([(1, 1, 2, 1), (2, 2, 9, 1), (3, 3, 10, 2), (4, 4, 5, None)], "tb_id int, tb_anketa int, tb_status int, pturi_id int"),
+        "ins_sobitie": spark.createDataFrame([(1, 1), (2, 3), (3, 4)], "ins_id int, polis_id int"),
+        "ins_viplati": spark.createDataFrame(
+            [(1, day(2000, 2, 1), dec(4), None, None), (2, day(2000, 2, 1), dec(3), 2, dec(2)), (3, day(2000, 2, 1), dec(99), 1, None)],
+            "sobitie_id int, date_viplata timestamp_ntz, viplate decimal(22,4), val_type int, val_kurs decimal(22,4)"),
+        "ins_rastorg": spark.createDataFrame([(day(2000, 3, 1), dec(1), 3), (None, dec(9), 3)], "tb_dateras timestamp_ntz, tb_summa decimal(22,4), tb_polis int"),
+        "ins_pturi": spark.createDataFrame(
+            [(1, None, "u", "5", 1, 1, 1, 1, 0), (2, "named", "n", "108", 9, 1, 1, 1, 0)],
+            "ins_id int, polis_name_rus string, polis_name string, kod_num string, vertical int, group1 int, group2 int, active int, import int"),
+        "ins_vertical": spark.createDataFrame([(1, "line")], "ins_id int, name1 string"),
+        "ins_pgroup1": spark.createDataFrame([(1, "g")], "ins_id int, name1 string"),
+        "ins_pgroup2": spark.createDataFrame([(1, "g")], "ins_id int, name1 string"),
+    }
+    from coverledger.plans.marts import company_volumes
+
+    w = Warehouse(t.get, AS_OF)
+    cols = ["product_name", "co_prem_py", "co_prem_cy", "co_liab_py", "co_liab_cy", "co_claims_py", "co_claims_cy", "co_term_py", "co_term_cy"]
+    got = sorted((tuple(r) for r in company_volumes(w).select(*cols).collect()), key=str)
+    want = [
+        (None, 10, 0, 100, 0, 0, 0, 0, 0),  # premium of the prior year
+        (None, 0, 20, 0, 0, 0, 0, 0, 0),  # premium of the current year, contract missing
+        (None, 0, 0, 0, 0, 0, 4, 0, 0),  # claims of the current year
+        ("named", 0, 10, 0, 7, 0, 6, 0, 1),
+    ]
+    assert got == sorted([tuple(v if v is None or isinstance(v, str) else Decimal(v).quantize(Decimal("0.0001")) for v in r) for r in want], key=str)
