@@ -850,16 +850,42 @@ def _(b: Bridge) -> DataFrame:
     return curated.premium_total(b, dt.date(2000, 1, 1), dt.date(2000, 4, 1))
 
 
-# ---- streaming ---------------------------------------------------------------
+# ---- stored and streamed tables ----------------------------------------------
 
 
-@query("t02_latest_per_date")
+def _new_folder(b: Bridge, name: str) -> str:
+    """A new folder in the session's checkpoint folder."""
+    return f"{checkpoint_dir(b.spark, '/tmp/coverledger-checkpoints')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("s08_drop_folder")
 def _(b: Bridge) -> DataFrame:
-    """Events as a file stream, kept at the newest event of each day.
+    """Orders landed as headerless files, picked up by a stream; a second run finds nothing new."""
+    root = _new_folder(b, "drop-folder")
+    b.source("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").write.csv(f"{root}/drop")
+    for _ in range(2):
+        raw = loads.landing_stream(b.spark, f"{root}/drop", 3)
+        rows = landing.positional(raw, catalog.CLAIMS_COLUMNS[:3], catalog.HEADER_ROWS["claims"], keep=("row_no",))
+        loads.append_stream(rows, f"{root}/table", f"{root}/state").awaitTermination()
+    return b.spark.read.parquet(f"{root}/table")
+
 
-    Table and stream state go to a new folder of the session's checkpoint folder.
-    """
-    root = f"{checkpoint_dir(b.spark, '/tmp/coverledger-checkpoints')}/latest-per-date-{uuid.uuid4().hex}"
+@query("s22_stored_model")
+def _(b: Bridge) -> DataFrame:
+    """A mart read back from storage, computed from a stored curated table."""
+    w, root = b.warehouse(), _new_folder(b, "stored-model")
+    w.save("terminated_contracts", root)
+    monthly = w["terminated_contracts"].groupBy(dates.month_start(F.col("termination_date")).alias("report_month")).agg(
+        F.sum("terminated_amount").alias("terminated_amount"), F.count("*").alias("n")
+    )
+    sinks.write_slices(monthly, f"{root}/monthly", "report_month")
+    return b.spark.read.parquet(f"{root}/monthly")
+
+
+@query("t02_latest_per_date")
+def _(b: Bridge) -> DataFrame:
+    """Events as a file stream, kept at the newest event of each day."""
+    root = _new_folder(b, "latest-per-date")
     # A glob, because a stream takes a folder or a pattern and the table may be one file.
     events = b.spark.readStream.schema(SCHEMAS["events"]).parquet(f"{b.sf_dir}/[e]vents.parquet")
     rows = events.select(F.to_date("ts").alias("report_date"), "event_id", "ts", "user_id", "event_type")

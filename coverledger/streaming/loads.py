@@ -36,14 +36,15 @@ def load_drop_folder(
     rows = landing_stream(spark, drop_dir, len(columns), archive_dir).withColumn("route", route_of(F.col("source_file")))
     named = positional(rows.filter(F.col("route").isNotNull()), columns, catalog.HEADER_ROWS["claims"], ("source_file", "route"))
     landed = as_text(drop_empty(named, columns)).withColumn("loaded_at", F.current_timestamp().cast("string"))
-    return (
-        landed.writeStream.format("parquet")
-        .partitionBy("route")
-        .option("path", table_dir)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return append_stream(landed, table_dir, checkpoint, "route")
+
+
+def append_stream(rows: DataFrame, table_dir: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
+    """Append new rows to a Parquet table; its commit log keeps every batch exactly once."""
+    writer = rows.writeStream.format("parquet").option("path", table_dir).option("checkpointLocation", checkpoint)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.trigger(availableNow=True).start()
 
 
 def latest_per_date_stream(

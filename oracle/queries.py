@@ -609,6 +609,13 @@ _QUERIES = {
         "premium_total liability_total liability_unconverted",
     ),
 }
+_QUERIES["s08_drop_folder"] = """SELECT CAST(o_custkey AS VARCHAR) AS record_id, o_orderstatus AS insured_region,
+    o_orderpriority AS insured_branch, o_orderkey AS row_no FROM orders WHERE o_orderkey > 5"""
+_QUERIES["s22_stored_model"] = finish(
+    """SELECT CAST(date_trunc('month', termination_date) AS DATE) AS report_month, sum(terminated_amount) AS terminated_amount,
+    count(*) AS n FROM q_terminated GROUP BY 1""",
+    "terminated_amount",
+)
 _QUERIES["t02_latest_per_date"] = """SELECT report_date, event_id, ts, user_id, event_type FROM (
     SELECT *, CAST(ts AS DATE) AS report_date, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n
     FROM events) t WHERE n = 1"""
