@@ -9,8 +9,9 @@ def latest_wins(df: DataFrame, keys: list[str], order: list[Column | str]) -> Da
     """Keep the row with the greatest order values per key.
 
     An aggregate and not a ranking: each task reduces its rows to one per key before
-    the shuffle, so a key with very many versions is no hot spot. Give enough order
-    columns to make the winner unique.
+    the shuffle, so a key with very many versions is no hot spot. Spark runs it as a
+    sort aggregate: a local, spillable sort per task, then one row per key and task.
+    Give enough order columns to make the winner unique.
     """
     rest = [c for c in df.columns if c not in keys]
     winner = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
