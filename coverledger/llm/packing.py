@@ -22,6 +22,8 @@ from coverledger.llm.common import cut
 LENGTH, END = 1024, 2
 #: Documents of a pattern at most.
 DEPTH = 3
+#: Fractions from which repeat counts are rounded up; the plan with the fewest sequences is taken.
+ROUND_UP = (0.5, 0.75, 1.0)
 #: Chunks whose ids a worker remembers; beyond it forgets them all and starts again.
 REMEMBERED = 3_000_000
 #: Bytes of text that are split at once, and beyond which a text is encoded by itself.
@@ -338,18 +340,24 @@ def plan(histogram: dict[int, int], length: int = LENGTH, depth: int = DEPTH) ->
         packed[(length,)] = int(counts[length])
         counts[length] = 0
     ways = patterns(length, np.flatnonzero(counts), depth)
-    if len(ways):
-        fit = nnls(ways, counts.astype(float))
-        for k, n in sorted(fit.items(), key=lambda kv: -kv[1]):
-            own = Counter(int(s) for s in ways[k] if s)
-            n = min(int(np.floor(n + 0.5)), *(int(counts[s]) // m for s, m in own.items()))
-            if n > 0:
-                packed[tuple(int(s) for s in ways[k] if s)] += n
-                for s, m in own.items():
-                    counts[s] -= n * m
-    for lengths, n in best_fit(counts, length):
+    fit = nnls(ways, counts.astype(float)) if len(ways) else {}
+    found = [_rounded(ways, fit, counts, up, length) for up in ROUND_UP]
+    return list((packed + min(found, key=lambda p: p.total())).items())
+
+
+def _rounded(ways: np.ndarray, fit: dict[int, float], counts: np.ndarray, up: float, length: int) -> Counter:  # fmt: skip  # noqa: E501
+    """The patterns by rounded counts (up from a fraction of ``up`` on), the rest by best fit."""
+    left, packed = counts.copy(), Counter()
+    for k, x in sorted(fit.items(), key=lambda kv: -kv[1]):
+        own = Counter(int(s) for s in ways[k] if s)
+        n = min(int(np.floor(x + 1 - up)), *(int(left[s]) // m for s, m in own.items()))
+        if n > 0:
+            packed[tuple(int(s) for s in ways[k] if s)] += n
+            for s, m in own.items():
+                left[s] -= n * m
+    for lengths, n in best_fit(left, length):
         packed[lengths] += n
-    return list(packed.items())
+    return packed
 
 
 def ranges(planned: list[tuple]) -> list[tuple[int, int, int, int, int]]:
