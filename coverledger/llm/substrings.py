@@ -39,6 +39,14 @@ class _Hashes(dict):
         return found
 
 
+class _Numbers(dict):
+    """Numbers the words it is asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 @dataclass
 class Runs:
     """The super-k-mers of a text: runs of windows that share their minimiser."""
@@ -155,8 +163,8 @@ class _Sender:
             by_slot.setdefault(own[4], []).append((packed, own))
         pack = zstandard.ZstdCompressor(level=1).compress
         for slot, items in by_slot.items():
-            numbers = np.array([(o[0], o[2], o[1]) for _, o in items], np.int64)
-            texts = pack(b"\n".join(p for p, _ in items))
+            numbers = np.array([(o[0], o[2], o[1], o[3]) for _, o in items], np.int64)
+            texts = pack(b" ".join(p for p, _ in items))
             yield TEXTS, slot, pickle.dumps((numbers, texts))
         if self.windows:
             one, two, ids, keys, at = (np.concatenate(c) for c in zip(*self.windows))
@@ -182,20 +190,14 @@ class _Sender:
 
 def _text_windows(blobs: list[tuple], window: int) -> tuple[np.ndarray, ...]:
     """Repeated windows among packed super-k-mers, compared word by word after sorting."""
-    known: dict[bytes, int] = {}
-    ids, keys, firsts, counts, words = [], [], [], [], []
+    known, words = _Numbers(), []
     for numbers, packed in blobs:
-        texts = zstandard.ZstdDecompressor().decompress(packed).split(b"\n")
-        for (doc, key, first), text in zip(numbers.tolist(), texts):
-            own = [known.setdefault(w, len(known)) for w in text.split(b" ")]
-            words.append(np.array(own, np.int64))
-            ids.append(doc)
-            keys.append(key)
-            firsts.append(first)
-            counts.append(len(own) - window + 1)
-    count = np.array(counts)
+        text = zstandard.ZstdDecompressor().decompress(packed)
+        size = int(numbers[:, 3].sum()) + len(numbers) * (window - 1)
+        words.append(np.fromiter(map(known.__getitem__, text.split(b" ")), np.uint64, size))
+    ids, keys, firsts, count = np.concatenate([numbers for numbers, _ in blobs]).T
     total = count + window - 1
-    word = np.concatenate(words).astype(np.uint64)
+    word = np.concatenate(words)
     run = np.repeat(np.arange(len(count)), count)
     nth = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
     at = (np.cumsum(total) - total)[run] + nth
@@ -208,8 +210,7 @@ def _text_windows(blobs: list[tuple], window: int) -> tuple[np.ndarray, ...]:
     place = np.minimum(np.searchsorted(twice, hashes), len(twice) - 1)
     chosen = np.flatnonzero(twice[place] == hashes)
     group, run, nth, at = place[chosen], run[chosen], nth[chosen], at[chosen]
-    doc, key = np.array(ids)[run], np.array(keys)[run]
-    start = np.array(firsts)[run] + nth
+    doc, key, start = ids[run], keys[run], firsts[run] + nth
     order = np.lexsort((start, doc, group))
     group, doc, key, start, at = (c[order] for c in (group, doc, key, start, at))
     same = np.ones(len(group) - 1, bool)
