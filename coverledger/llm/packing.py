@@ -22,8 +22,9 @@ from coverledger.llm.common import cut
 LENGTH, END = 1024, 2
 #: Documents of a pattern at most.
 DEPTH = 3
-#: Fractions from which repeat counts are rounded up; the plan with the fewest sequences is taken.
-ROUND_UP = (0.5, 0.75, 1.0)
+#: Ways to round the repeat counts: a share of them, and the fraction from which to round up. What
+#: is left over packs better the more there is of it; the plan with the fewest sequences is taken.
+ROUNDINGS = ((1.0, 0.5), (1.0, 1.0), (0.9, 1.0), (0.7, 1.0), (0.5, 1.0))
 #: Chunks whose ids a worker remembers; beyond it forgets them all and starts again.
 REMEMBERED = 3_000_000
 #: Bytes of text that are split at once, and beyond which a text is encoded by itself.
@@ -245,21 +246,22 @@ def patterns(length: int, present: np.ndarray, depth: int = DEPTH) -> np.ndarray
 def nnls(patterns_: np.ndarray, wanted: np.ndarray, enter: int = 128) -> dict[int, float]:
     """Repeat counts x >= 0 that minimise |A x - wanted|, A having a column per pattern.
 
+    A length's error weighs by its square: short pieces left over fill gaps, long ones do not.
+
     An active-set method after Lawson and Hanson: patterns of the largest gradient enter, several
     without a common length at once, the least-squares problem over all active ones is solved,
     and those with negative counts leave. It ends when no gradient is left or the squared error
     no longer falls by a hundredth.
     """
     length = len(wanted) - 1
+    weight = (np.arange(length + 1) / length) ** 2
     active: list[int] = []
     x = np.zeros(0)
     rest, best = wanted.copy(), np.inf
     fit: dict[int, float] = {}
     scale = max(1.0, float(wanted.max(initial=0)))
     for _ in range(400):
-        padded = rest.copy()
-        padded[0] = 0
-        gain = padded[patterns_].sum(axis=1)
+        gain = (rest * weight)[patterns_].sum(axis=1)
         if active:
             gain[active] = -np.inf
         used, new = np.zeros(length + 1, bool), []
@@ -278,9 +280,9 @@ def nnls(patterns_: np.ndarray, wanted: np.ndarray, enter: int = 128) -> dict[in
             columns = np.zeros((length + 1, len(active)))
             for place in range(patterns_.shape[1]):
                 np.add.at(columns, (patterns_[active, place], np.arange(len(active))), 1)
-            columns[0] = 0
-            gram = columns.T @ columns + 1e-9 * np.eye(len(active))
-            y = np.linalg.solve(gram, columns.T @ wanted)
+            weighted = columns.T * weight
+            gram = weighted @ columns + 1e-9 * np.eye(len(active))
+            y = np.linalg.solve(gram, weighted @ wanted)
             if (y > 1e-9).all():
                 x = y
                 break
@@ -292,7 +294,7 @@ def nnls(patterns_: np.ndarray, wanted: np.ndarray, enter: int = 128) -> dict[in
             for own in patterns_[k][patterns_[k] > 0]:
                 fitted[own] += n
         rest = wanted - fitted
-        error = float((rest[1:] ** 2).sum())
+        error = float((weight * rest**2).sum())
         if error > best * 0.99:
             break
         best, fit = error, dict(zip(active, x))
@@ -341,16 +343,23 @@ def plan(histogram: dict[int, int], length: int = LENGTH, depth: int = DEPTH) ->
         counts[length] = 0
     ways = patterns(length, np.flatnonzero(counts), depth)
     fit = nnls(ways, counts.astype(float)) if len(ways) else {}
-    found = [_rounded(ways, fit, counts, up, length) for up in ROUND_UP]
+    found = [_rounded(ways, fit, counts, share, up, length) for share, up in ROUNDINGS]
     return list((packed + min(found, key=lambda p: p.total())).items())
 
 
-def _rounded(ways: np.ndarray, fit: dict[int, float], counts: np.ndarray, up: float, length: int) -> Counter:  # fmt: skip  # noqa: E501
-    """The patterns by rounded counts (up from a fraction of ``up`` on), the rest by best fit."""
+def _rounded(
+    ways: np.ndarray,
+    fit: dict[int, float],
+    counts: np.ndarray,
+    share: float,
+    up: float,
+    length: int,
+) -> Counter:
+    """The patterns by rounded counts, the rest by best fit."""
     left, packed = counts.copy(), Counter()
     for k, x in sorted(fit.items(), key=lambda kv: -kv[1]):
         own = Counter(int(s) for s in ways[k] if s)
-        n = min(int(np.floor(x + 1 - up)), *(int(left[s]) // m for s, m in own.items()))
+        n = min(int(np.floor(x * share + 1 - up)), *(int(left[s]) // m for s, m in own.items()))
         if n > 0:
             packed[tuple(int(s) for s in ways[k] if s)] += n
             for s, m in own.items():
