@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from coverledger.functions.cleaning import clean_numeric
+from coverledger.functions.money import AMOUNT
+
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, nulls ignored."""
@@ -44,6 +47,16 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def unfit_amounts(df: DataFrame, columns: list[str], amount_type: str = AMOUNT) -> DataFrame:
+    """Per text column, how many values hold a number that the amount type cannot: they would
+    be read as null and be missing from every sum."""
+    unfit = [F.count_if(F.col(c).rlike("[0-9]") & clean_numeric(F.col(c), amount_type).isNull()).alias(c) for c in columns]
+    counts = df.agg(*unfit, F.count(F.lit(1)).alias("_rows"))
+    return counts.unpivot("_rows", columns, "column_name", "unfit_values").select(
+        "column_name", "unfit_values", F.col("_rows").alias("total_rows")
+    )
+
+
 def load_summary(landed: DataFrame, columns: list[str], by: str) -> DataFrame:
     """Rows read, skipped as empty and inserted, per source."""
     empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])

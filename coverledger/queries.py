@@ -467,7 +467,8 @@ def _(b: Bridge) -> DataFrame:
 @query("j09_explode_months")
 def _(b: Bridge) -> DataFrame:
     start, end = F.col("loandate_from").cast("date"), F.col("loandate_to").cast("date")
-    months = F.sequence(F.trunc(start, "MM"), F.trunc(F.coalesce(end, start), "MM"), F.expr("INTERVAL 1 MONTH"))
+    first, last = F.trunc(start, "MM"), F.trunc(F.coalesce(end, start), "MM")
+    months = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
     return b("ins_invloan").select("ins_id", F.explode(months).alias("month"))
 
 
@@ -845,6 +846,14 @@ def _(b: Bridge) -> DataFrame:
     return quality.null_violations(b("ins_bank_client"), "pym_date").select("ins_id")
 
 
+@query("q04_unfit_amounts")
+def _(b: Bridge) -> DataFrame:
+    """Amount texts, some of them too long for an amount."""
+    long = F.repeat(F.col("o_orderkey").cast("string"), F.lit(5))
+    texts = b.source("orders").select(F.col("o_totalprice").cast("string").alias("price"), long.alias("long"))
+    return quality.unfit_amounts(texts, ["price", "long"])
+
+
 @query("q03_premium_total")
 def _(b: Bridge) -> DataFrame:
     return curated.premium_total(b, dt.date(2000, 1, 1), dt.date(2000, 4, 1))
@@ -854,8 +863,13 @@ def _(b: Bridge) -> DataFrame:
 
 
 def _new_folder(b: Bridge, name: str) -> str:
-    """A new folder in the session's checkpoint folder."""
-    return f"{checkpoint_dir(b.spark, '/tmp/coverledger-checkpoints')}/{name}-{uuid.uuid4().hex}"
+    """A new folder among the shared ones of the session, removed when the application ends."""
+    shared = checkpoint_dir(b.spark, b.spark.conf.get("spark.sql.warehouse.dir"))
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = b.spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = b.spark._jsparkSession.sessionState().newHadoopConf()
+    place.getFileSystem(conf).deleteOnExit(place)
+    return path
 
 
 @query("s08_drop_folder")

@@ -7,6 +7,7 @@ Spark has no file line order of its own, so the row number travels with the row.
 
 from __future__ import annotations
 
+import itertools
 import re
 from functools import reduce
 
@@ -135,33 +136,40 @@ def split_by_route(rows: DataFrame, file_name: str = "source_file") -> dict[str,
     return {t: routed.filter(F.col("_route") == t).drop("_route") for _, t in catalog.FILE_ROUTES}
 
 
-def _plain(text: str) -> str:
-    return re.sub(r"[^a-z0-9а-яё]", "", text.lower().strip())
+# What a header is made of; everything else separates.
+HEADER_PART = re.compile(r"[a-z0-9а-яё]+")
+
+
+def _numbered(names: list[str]) -> list[str]:
+    """Each name once: a repeat takes the next free number from 2 on."""
+    last: dict[str, int] = {}
+    given: dict[str, None] = {}
+    for name in names:
+        numbers = itertools.count(last.get(name, 0) + 1)
+        last[name], own = next(
+            (n, own) for n in numbers if (own := name if n == 1 else f"{name}_{n}") not in given
+        )
+        given[own] = None
+    return list(given)
 
 
 def harmonised_names(headers: list[str], words: dict[str, list[str]] | None = None) -> list[str]:
-    """Header texts to column names: known words first, then a cleaned name of up to
-    30 characters; repeats get ``_2``, ``_3``, ..."""
-    words = catalog.CLAIMS_HEADER_WORDS if words is None else words
-    free = dict(words)
-    names: list[str] = []
+    """Header texts to column names.
+
+    A header that contains one of a column's words takes that column, the first still free in
+    the given order. Any other keeps its own parts, up to 30 characters. Repeats are numbered.
+    """
+    layout = catalog.CLAIMS_HEADER_WORDS if words is None else words
+    index = [("".join(HEADER_PART.findall(w.lower())), column) for column, ws in layout.items() for w in ws]
+    named: list[str] = []
+    claimed: set[str] = set()
     for header in headers:
-        plain = _plain(header)
-        hit = next((t for t, ws in free.items() if any(_plain(w) in plain for w in ws)), None)
-        if hit is not None:
-            del free[hit]
-            names.append(hit)
-            continue
-        cleaned = re.sub(r"_+", "_", re.sub(r"[^a-z0-9а-яё_]", "_", header.lower().strip())).strip("_")
-        names.append(cleaned[:30] or "col_unnamed")
-    out: list[str] = []
-    for name in names:
-        candidate, n = name, 1
-        while candidate in out:
-            n += 1
-            candidate = f"{name}_{n}"
-        out.append(candidate)
-    return out
+        parts = HEADER_PART.findall(header.lower())
+        whole = "".join(parts)
+        column = next((c for w, c in index if w in whole and c not in claimed), None)
+        claimed.add(column or "")
+        named.append(column or "_".join(parts)[:30] or "col_unnamed")
+    return _numbered(named)
 
 
 def harmonised_union(frames: list[DataFrame], words: dict[str, list[str]] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -46,13 +46,20 @@ def write_slices(df: DataFrame, path: str, by: str) -> None:
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Replace a whole table at commit, as one slice; a failed run leaves the old rows.
 
-    An empty table has no slice to put in place of the old one, so it clears the folder.
+    The rows are computed once and counted as they are written. An empty table has no slice to put in place of the old one, so it clears the folder.
     """
-    rows = df.withColumn("snapshot", F.lit("current"))
-    if rows.isEmpty():
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot").parquet(path)
-    else:
-        _replace(rows, path, "snapshot")
+    rows, seen = df.withColumn("snapshot", F.lit("current")), Observation()
+    _replace(rows.observe(seen, F.count(F.lit(1)).alias("n")), path, "snapshot")
+    if not seen.get["n"]:
+        none = df.sparkSession.createDataFrame([], rows.schema)
+        none.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot").parquet(path)
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store.exists(place)
 
 
 def _replace(df: DataFrame, path: str, by: str) -> None:

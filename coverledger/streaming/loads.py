@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from coverledger import catalog
 from coverledger.operators.upsert import latest_wins
 from coverledger.sources.landing import drop_empty, landing_schema, positional, route_of
-from coverledger.sources.sinks import as_text, write_slices
+from coverledger.sources.sinks import as_text, has_files, write_slices
 
 
 def landing_stream(spark: SparkSession, drop_dir: str, width: int, archive_dir: str | None = None) -> DataFrame:
@@ -52,13 +52,19 @@ def latest_per_date_stream(
 ) -> StreamingQuery:
     """Keep one row per date; a repeated or late report for a date replaces the stored one.
 
-    Each batch overwrites exactly the date partitions it brings and reads nothing back,
-    so its cost follows the batch and not the table. Running a batch again after a
-    failure writes the same partitions again.
+    A batch is compared with the stored rows of the dates it brings, and only those
+    partitions are read and replaced, so its cost follows the batch and not the table.
+    The greatest in ``order`` wins wherever batches begin and end, and running a batch
+    again writes the same rows again.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        write_slices(latest_wins(batch, [date], order), table_dir, date)
+        rows = latest_wins(batch, [date], order)
+        if has_files(batch.sparkSession, table_dir):
+            stored = batch.sparkSession.read.schema(batch.schema).parquet(table_dir)
+            stored = stored.join(rows.select(date), date, "left_semi")
+            rows = latest_wins(rows.unionByName(stored.select(*rows.columns)), [date], order)
+        write_slices(rows, table_dir, date)
 
     return (
         incoming.writeStream.foreachBatch(apply)

@@ -600,6 +600,8 @@ _QUERIES = {
             ELSE concat_ws('-', l_orderkey % 3000, l_linenumber * 3, l_partkey % 40) END AS day_text FROM lineitem) t""",
     "q01_unique": "SELECT ins_id, count(*) AS n_records FROM ins_oplata WHERE ins_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "q02_not_null": "SELECT ins_id FROM ins_bank_client WHERE pym_date IS NULL",
+    "q04_unfit_amounts": """SELECT 'price' AS column_name, 0 AS unfit_values, count(*) AS total_rows FROM orders UNION ALL
+        SELECT 'long', count(*) FILTER (WHERE length(repeat(CAST(o_orderkey AS VARCHAR), 5)) > 18), count(*) FROM orders""",
     "q03_premium_total": finish(
         """SELECT sum(premium_amount) AS premium_total, sum(liability_amount) AS liability_total,
             (SELECT sum(contract.ins_otv) FROM ins_oplata o JOIN ins_bank_client bank ON bank.ins_id = o.bc_id

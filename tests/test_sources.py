@@ -97,7 +97,8 @@ def test_write_slices_leaves_other_dates(spark, tmp_path):
         (("NUMBER", 9, 0), T.IntegerType()),
         (("NUMBER", 10, 0), T.LongType()),
         (("NUMBER", 18, 0), T.LongType()),
-        (("NUMBER", 19, 0), T.DecimalType(38, 10)),
+        (("NUMBER", 19, 0), T.DecimalType(19, 0)),
+        (("NUMBER", 38, 0), T.DecimalType(38, 0)),
         (("NUMBER", 15, 2), T.DecimalType(15, 2)),
         (("number", None, 0), T.DecimalType(38, 0)),
         (("VARCHAR2",), T.StringType()),

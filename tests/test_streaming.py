@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from coverledger.session import checkpoint_dir
 from coverledger.streaming import loads
@@ -58,3 +59,21 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     if configured is None:
         with pytest.raises(ValueError):
             checkpoint_dir(spark)
+
+
+def test_an_older_report_in_a_later_batch_does_not_replace(spark, tmp_path):
+    """The same winners however the reports are spread over batches, and after a replay."""
+    reports = [("2024-01-01", 5, "new"), ("2024-01-01", 2, "old"), ("2024-01-02", 1, "a"), ("2024-01-02", 9, "b")]
+    for order in (reports, reports[::-1]):
+        root = tmp_path / order[0][2]
+        for n, row in enumerate([*order, order[1]]):  # the second comes again
+            rows = spark.createDataFrame([row], "report_date string, ingested_at int, body string")
+            rows.withColumn("report_date", F.to_date("report_date")).coalesce(1).write.parquet(str(root / "in" / f"batch{n}"))
+            incoming = spark.readStream.schema("report_date date, ingested_at int, body string").option(
+                "recursiveFileLookup", "true"
+            ).option("maxFilesPerTrigger", 1).parquet(str(root / "in"))
+            loads.latest_per_date_stream(
+                incoming, str(root / "table"), str(root / "state"), ["ingested_at"]
+            ).awaitTermination()
+        got = spark.read.parquet(str(root / "table")).select("ingested_at", "body").collect()
+        assert sorted(tuple(r) for r in got) == [(5, "new"), (9, "b")]
