@@ -87,7 +87,7 @@ def test_probabilities_of_a_context_add_up_to_one_at_most(spark):
         total = 0.0
         for after in (b"a", b"b", b"c", b"d", b" "):
             own = np.array([hashes[before], hashes[after]], np.uint64)
-            total += 10 ** model.logs(own)[1]
+            total += 10 ** model.logs(own, filter_.levels(own))[1]
         assert 0.5 < total <= 1.0
 
 
