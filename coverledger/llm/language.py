@@ -13,6 +13,9 @@ from coverledger.llm.common import cut
 
 #: Learned documents of a language on average, as a bound on the sample.
 SAMPLE = 4000
+#: Rows and characters that are labelled together, words whose scores a worker remembers, and new
+#: words that are scored together.
+TOGETHER, CHARACTERS, REMEMBERED, SCORED = 300, 2 << 20, 150_000, 20_000
 #: Cells of the hashed n-gram table, and the longest n-gram in characters.
 CELLS, LONGEST = 1 << 17, 4
 #: Log-probability that a change of language costs, and the most a word can say for one language.
@@ -187,14 +190,15 @@ class Labeller:
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths of the texts in words, and the number of every word."""
-        if len(self.number) > 300_000:
+        if len(self.number) > REMEMBERED:
             self.__init__(self.model)
         split = [t.split() for t in texts]
         new = list({w for ws in split for w in ws if w not in self.number})
         if new:
             plain = list(map(letters, new))
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            self.rows = np.concatenate([self.rows, self.model.scores(plain)])
+            parts = [self.model.scores(plain[k : k + SCORED]) for k in range(0, len(plain), SCORED)]
+            self.rows = np.concatenate([self.rows, *parts])
             self.has_letters = np.concatenate([self.has_letters, np.array([bool(w) for w in plain])])
         lengths = np.array([len(ws) for ws in split])
         number = self.number.__getitem__
@@ -244,13 +248,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model)
-        for batch in batches:
+        pieces = (b.slice(k, TOGETHER) for b in batches for k in range(0, b.num_rows, TOGETHER))
+        for batch in pieces:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             found, group, size = [], [], 0
             for text in texts:
                 group.append(text)
                 size += len(text)
-                if size > 8 << 20:
+                if size > CHARACTERS:
                     found += labeller.label(group, switch)
                     group, size = [], 0
             if group:
