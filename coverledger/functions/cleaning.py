@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from coverledger.catalog import BLANK_CHARACTERS
-from coverledger.functions.money import AMOUNT
+from coverledger.functions.money import READ
 
 
 def blank_to_null(c: Column) -> Column:
@@ -23,7 +23,7 @@ def first_filled(*cols: Column, default: str) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in cols], F.lit(default))
 
 
-def clean_numeric(c: Column, amount_type: str = AMOUNT) -> Column:
+def clean_numeric(c: Column, amount_type: str = READ) -> Column:
     """First signed number in free text.
 
     Spaces are dropped, one group after ``.`` or ``,`` is the fraction and the rest
@@ -33,7 +33,7 @@ def clean_numeric(c: Column, amount_type: str = AMOUNT) -> Column:
     return F.nullif(F.replace(digits, F.lit(","), F.lit(".")), F.lit("")).try_cast(amount_type)
 
 
-def clean_numeric_strict(c: Column, amount_type: str = AMOUNT) -> Column:
+def clean_numeric_strict(c: Column, amount_type: str = READ) -> Column:
     """The whole text must be one number, else null (no partial reads)."""
     return strip_to_null(c).try_cast(amount_type)
 

@@ -1,7 +1,8 @@
 """Amounts and currency conversion in exact decimals.
 
-An amount has 4 decimals and a rate 6, so a product keeps all 10 of them within
-38 digits. Nothing is rounded before it is summed.
+An amount of a source table has 4 decimals and a rate 10; a product is rounded once,
+to the 10 decimals that 38 digits leave room for. Numbers read from text may be larger
+and finer (``READ``). Nothing else is rounded before it is summed.
 """
 
 from __future__ import annotations
@@ -9,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 AMOUNT = "decimal(22,4)"
-RATE = "decimal(15,6)"
+READ = "decimal(30,6)"
+RATE = "decimal(18,10)"
 CONVERTED = "decimal(38,10)"
 TOTAL = "decimal(38,4)"
 HOME_CURRENCY = 1

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from coverledger.functions.money import AMOUNT
+from coverledger.functions.money import READ
 
 
 def report_body(payload: Column, path: str) -> Column:
@@ -15,7 +15,7 @@ def report_body(payload: Column, path: str) -> Column:
     return F.try_variant_get(F.try_parse_json(payload), path, "variant")
 
 
-def report_number(body: Column, key: str, amount_type: str = AMOUNT) -> Column:
+def report_number(body: Column, key: str, amount_type: str = READ) -> Column:
     """Number under a key; text that is not a number is null."""
     return F.try_variant_get(body, f"$.{key}", amount_type)
 
@@ -40,7 +40,7 @@ def is_number(value: Column) -> Column:
     return F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
 
 
-def variant_number(value: Column, amount_type: str = AMOUNT) -> Column:
+def variant_number(value: Column, amount_type: str = READ) -> Column:
     """A JSON number or boolean as an amount."""
     return F.coalesce(
         F.try_variant_get(value, "$", amount_type), F.try_variant_get(value, "$", "boolean").cast("int").cast(amount_type)

@@ -121,6 +121,9 @@ def main(argv: list[str] | None = None) -> None:
     models.add_argument("--out", required=True)
     models.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     models.add_argument("--select", nargs="*", choices=[*CURATED, *MARTS])
+    models.add_argument("--reinsurance-years", nargs=2, type=int, metavar=("FIRST", "SECOND"))
+    models.add_argument("--market-columns", nargs=6, help="premium, claims and liabilities of the market, prior and current year each")
+    models.add_argument("--registry-keys-unique", action="store_true")
     for name in ("reinsurance", "claims-2025", "drop-folder", "reports"):
         job = jobs.add_parser(name)
         job.add_argument("--path", required=True)
@@ -135,7 +138,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"coverledger-{args.job}").getOrCreate())
     if args.job == "models":
-        for name in run_models(Warehouse(raw_folder(spark, args.raw), args.as_of), args.out, args.select):
+        options = {"reinsurance_years": args.reinsurance_years, "market_columns": args.market_columns}
+        options = {k: tuple(v) for k, v in options.items() if v}
+        warehouse = Warehouse(
+            raw_folder(spark, args.raw), args.as_of, registry_keys_unique=args.registry_keys_unique, **options
+        )
+        for name in run_models(warehouse, args.out, args.select):
             print(name)
     elif args.job == "reinsurance":
         load_reinsurance(spark, args.path, args.table, args.side).show(truncate=False)

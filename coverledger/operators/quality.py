@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from coverledger.functions.cleaning import clean_numeric
-from coverledger.functions.money import AMOUNT
+from coverledger.functions.money import READ
 
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
@@ -47,7 +47,7 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def unfit_amounts(df: DataFrame, columns: list[str], amount_type: str = AMOUNT) -> DataFrame:
+def unfit_amounts(df: DataFrame, columns: list[str], amount_type: str = READ) -> DataFrame:
     """Per text column, how many values hold a number that the amount type cannot: they would
     be read as null and be missing from every sum."""
     unfit = [F.count_if(F.col(c).rlike("[0-9]") & clean_numeric(F.col(c), amount_type).isNull()).alias(c) for c in columns]

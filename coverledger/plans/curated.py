@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Collection
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from coverledger import catalog
 from coverledger.functions import money
@@ -136,7 +136,7 @@ def investment_activity(raw: Raw) -> DataFrame:
         "investment_type",
         F.try_variant_get("_item", "$.partner", "string").alias("partner_name"),
         F.try_variant_get("_item", "$.contract", "string").alias("contract"),
-        F.when(listed, amount).otherwise(F.try_variant_get("_part", "$", money.AMOUNT)).alias("amount"),
+        F.when(listed, amount).otherwise(F.try_variant_get("_part", "$", money.READ)).alias("amount"),
         _scenario(),
     )
 
@@ -159,11 +159,13 @@ def policies_in_force(raw: Raw) -> DataFrame:
     return in_force.select(F.col("tb_anketa").alias("_in_force"))
 
 
-def general_premium_rows(raw: Raw) -> DataFrame:
-    """Payments of types 1 (any but 3) and 22 (type 3, bank payment status 2).
+def _linked_payments(raw: Raw, contracts: DataFrame) -> DataFrame:
+    """Payments of types 1 (any but 3) and 22 (type 3, bank payment status 2), with the columns
+    of ``contracts`` (key ``_contract``).
 
     Both kinds need the same joins, so one pass serves them. The policy check and the
-    contract come first: both use the contract key, so one shuffle serves both.
+    contract come first: both use the contract key, so one shuffle serves both. Only
+    foreign payments of type 1 need a rate.
     """
     payments = raw("ins_oplata").filter(F.col("ins_type").isNotNull()).select(
         "anketa_id", "bc_id", "ins_type", "opl_val", "opl_data", "oplata", "opl_summa", "val_kurs"
@@ -171,24 +173,33 @@ def general_premium_rows(raw: Raw) -> DataFrame:
     bank = raw("ins_bank_client").select(
         F.col("ins_id").alias("_bank_id"), F.col("pym_date").cast("date").alias("payment_date"), F.col("status").alias("_status")
     )
-    contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv")
     linked = payments.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
     linked = linked.join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
-    linked = with_rate(linked, raw("ins_kurs"), "opl_val", "opl_data")
-    linked = linked.join(
+    foreign = (F.col("ins_type") != 3) & (F.col("opl_val") != money.HOME_CURRENCY)
+    linked = with_rate(linked, raw("ins_kurs"), "opl_val", "opl_data", needed=foreign)
+    return linked.join(
         bank, (F.col("bc_id") == F.col("_bank_id")) & ((F.col("ins_type") != 3) | (F.col("_status") == 2)), "inner"
     )
-    ordinary = F.col("ins_type") != 3
-    bank_linked_premium = money.convert(
+
+
+def _payment_premium():
+    """Premium of a linked payment in the home currency."""
+    bank_linked = money.convert(
         F.col("opl_val"), F.col("oplata"), F.col("oplata"), money.rate_or_one(F.col("val_kurs"))
     )
-    return linked.select(
+    ordinary = money.convert(F.col("opl_val"), F.col("oplata"), F.col("opl_summa"), F.col("rate"))
+    return F.when(F.col("ins_type") != 3, ordinary).otherwise(bank_linked)
+
+
+def general_premium_rows(raw: Raw) -> DataFrame:
+    """Premium and liability of every linked payment."""
+    contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv")
+    ordinary = F.col("ins_type") != 3
+    return _linked_payments(raw, contracts).select(
         "payment_date",
         F.when(ordinary, 1).otherwise(22).alias("source_query_id"),
         "anketa_id",
-        F.when(ordinary, money.convert(F.col("opl_val"), F.col("oplata"), F.col("opl_summa"), F.col("rate")))
-        .otherwise(bank_linked_premium)
-        .alias("premium_amount"),
+        _payment_premium().alias("premium_amount"),
         F.when(ordinary, money.convert(F.col("opl_val"), F.col("ins_otv"), F.col("ins_otv"), F.col("rate")))
         .otherwise(money.amount_or_zero(F.col("ins_otv")).cast(money.CONVERTED))
         .alias("liability_amount"),
@@ -256,6 +267,54 @@ def premium_sums(raw: Raw) -> DataFrame:
     return general_premium_rows(raw).unionByName(motor_liability_sums(raw))
 
 
+def motor_payment_keys(raw: Raw) -> DataFrame:
+    """Motor payments that ``motor_liability_rows`` has; their premium is 0, so no repeats are counted."""
+    rows = _motor_payments(raw)
+    held = (
+        raw("tb_anketa").select(F.col("tb_id").alias("_key")),
+        motor_policies(raw).select(F.col("tb_anketa").alias("_key")),
+        raw("tb_avto").select(F.col("tb_anketa").alias("_key")),
+    )
+    for keys in held:
+        rows = rows.join(keys, F.col("anketa_id") == F.col("_key"), "left_semi")
+    return rows
+
+
+def premium_amounts(raw: Raw) -> DataFrame:
+    """Date and premium of ``insurance_premium``, without its liabilities and repeated motor rows."""
+    contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"))
+    general = _linked_payments(raw, contracts).select("payment_date", _payment_premium().alias("premium_amount"))
+    motor = motor_payment_keys(raw).select("payment_date", F.lit(0).cast(money.CONVERTED).alias("premium_amount"))
+    return general.unionByName(motor)
+
+
+def premium_amounts_by_owner(raw: Raw) -> DataFrame:
+    """Date, premium and contract owner of every payment of ``insurance_premium``.
+
+    The report joins the contracts twice, for the premium and for the owner. Once is enough
+    where each contract row knows how often its key occurs: that count replaces the first
+    join. Count and join share the shuffle on the contract key.
+    """
+    contracts = raw("ins_anketa").filter(F.col("ins_id").isNotNull()).select(
+        F.col("ins_id").alias("_contract"),
+        F.col("owner").alias("partner_id"),
+        F.count(F.lit(1)).over(Window.partitionBy("ins_id")).alias("_copies"),
+    )
+    once = _payment_premium()
+    times = once.cast("decimal(27,10)") * F.col("_copies").cast("decimal(10,0)")
+    general = _linked_payments(raw, contracts).select(
+        "payment_date",
+        "partner_id",
+        F.when(F.col("_copies") > 1, times).otherwise(once).cast(money.CONVERTED).alias("premium_amount"),
+    )
+    motor = (
+        motor_payment_keys(raw)
+        .join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
+        .select("payment_date", "partner_id", F.lit(0).cast(money.CONVERTED).alias("premium_amount"))
+    )
+    return general.unionByName(motor)
+
+
 def premium_total(raw: Raw, start: dt.date, end: dt.date, registry_keys_unique: bool = False) -> DataFrame:
     """Converted payment and liability sums of a payment period.
 
@@ -292,7 +351,8 @@ def premium_total(raw: Raw, start: dt.date, end: dt.date, registry_keys_unique:
         return F.sum(_times(money.amount_or_zero(F.col(c)), copies)).cast(money.AMOUNT).alias(c)
 
     sums = rows.groupBy("opl_val", "opl_data").agg(times("oplata"), times("opl_summa"), times("ins_otv"))
-    rated = with_rate(sums, raw("ins_kurs"), "opl_val", "opl_data")
+    foreign = F.col("opl_val") != money.HOME_CURRENCY
+    rated = with_rate(sums, raw("ins_kurs"), "opl_val", "opl_data", needed=foreign)
 
     def total(home: str, foreign: str):
         return F.sum(money.convert(F.col("opl_val"), F.col(home), F.col(foreign), F.col("rate")))

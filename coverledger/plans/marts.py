@@ -134,6 +134,11 @@ def _ratio_sources(w) -> list[tuple[DataFrame, dict]]:
     ]
 
 
+def _premium_amounts(w) -> DataFrame:
+    """Premiums by date where no one reads the liabilities; from the stored sums if there are any."""
+    return w["premium_sums"] if w.stored("premium_sums") else curated.premium_amounts(w.raw)
+
+
 def _premium_by_month(w) -> DataFrame:
     return w["premium_sums"].select(
         month_start(F.col("payment_date")).alias("report_month"), _scenario(), "premium_amount", "liability_amount"
@@ -154,7 +159,9 @@ def _loss_ratio():
 
 def financial_ratios_monthly(w) -> DataFrame:
     """Loss, expense, combined and reinsurance ratios on one month spine."""
-    premium = _premium_by_month(w).filter(F.col("report_month").isNotNull())
+    premium = _premium_amounts(w).filter(F.col("payment_date").isNotNull()).select(
+        month_start(F.col("payment_date")).alias("report_month"), _scenario(), "premium_amount"
+    )
     merged = merge_measures(
         [*_ratio_sources(w), (premium, {"premium_written": F.col("premium_amount")})], ["report_month", "scenario"]
     )
@@ -238,7 +245,8 @@ def financial_stability_monthly(w) -> DataFrame:
 def agency_commissions_monthly(w) -> DataFrame:
     """Monthly commission: all, legal entities (flag 1) and individuals (flag 2).
 
-    Summed per month, flag and partner before the partner join.
+    The partner join only repeats sums where partner keys repeat; with keys proven unique
+    it is skipped. Else sums shrink per month, flag and partner before it.
     """
     sums = (
         w["commission_rows"]
@@ -246,7 +254,7 @@ def agency_commissions_monthly(w) -> DataFrame:
         .groupBy(month_start(F.col("commission_date")).alias("report_month"), "entity_type_flag", "partner_id")
         .agg(F.sum("commission_amount_uzs").alias("_sum"))
     )
-    rows = curated.with_partner(sums, w.raw)
+    rows = sums if w.registry_keys_unique else curated.with_partner(sums, w.raw)
 
     def part(flag: int):
         return F.coalesce(
@@ -278,7 +286,14 @@ def subrogation_indicators_monthly(w) -> DataFrame:
 
 
 def premium_by_partner(w) -> DataFrame:
-    """Premium per month and partner name: sums shrink before each of the two joins."""
+    """Premium per month and partner name: sums shrink before the partner join."""
+    if not w.stored("premium_sums"):
+        by_owner = (
+            curated.premium_amounts_by_owner(w.raw)
+            .groupBy(month_start(F.col("payment_date")).alias("report_month"), "partner_id")
+            .agg(F.sum("premium_amount").alias("_sum"))
+        )
+        return curated.with_partner(by_owner, w.raw)
     by_contract = (
         w["premium_sums"]
         .groupBy(month_start(F.col("payment_date")).alias("report_month"), "anketa_id")
@@ -375,7 +390,7 @@ def premium_monthly(w) -> DataFrame:
     if w.stored("insurance_operations_monthly"):
         return w["insurance_operations_monthly"].select("report_month", "scenario", "insurance_premium_volume_uzs")
     return (
-        w["premium_sums"]
+        _premium_amounts(w)
         .groupBy(month_start(F.col("payment_date")).alias("report_month"))
         .agg(F.coalesce(F.sum("premium_amount"), F.lit(0)).alias("insurance_premium_volume_uzs"))
         .withColumn("scenario", _scenario())
@@ -453,6 +468,13 @@ def reinsurance_indicators_reinsurer(w) -> DataFrame:
 # ---- investments -------------------------------------------------------------
 
 
+def _deposit_starts(w) -> DataFrame:
+    """Start dates alone: the joins behind the deposits do not change the earliest."""
+    if w.stored("deposits"):
+        return w["deposits"].select("deposit_start_date")
+    return w.raw("ins_invdep").select(F.col("depdate_from").alias("deposit_start_date"))
+
+
 def _open_balances(w, by_partner: bool) -> DataFrame:
     """Open deposits ('Deposits') and loans ('Other') at every month end since the first deposit."""
     deposits = w["deposits"].select(
@@ -473,7 +495,7 @@ def _open_balances(w, by_partner: bool) -> DataFrame:
     keys = ["portfolio_category"]
     if by_partner:
         rows, keys = rows.filter(F.col("partner_name").isNotNull()), keys + ["partner_name"]
-    first = first_month(w["deposits"], "deposit_start_date")
+    first = first_month(_deposit_starts(w), "deposit_start_date")
     return active_balance(rows, "_start", "_end", "_amount", keys, first, w.last_month)
 
 
@@ -488,7 +510,7 @@ def _income(w) -> DataFrame:
 
 def investment_portfolio_monthly(w) -> DataFrame:
     """Month-end balance and income of four categories with their shares of the month."""
-    spine = month_spine(w["deposits"], "deposit_start_date", w.last_month)
+    spine = month_spine(_deposit_starts(w), "deposit_start_date", w.last_month)
     grid = expand_categories(
         spine, {c: F.lit(0) for c in catalog.PORTFOLIO_CATEGORIES}, "portfolio_category", "_none"
     ).drop("_none")

@@ -81,7 +81,8 @@ def report_sort(name: str) -> list:
 class Warehouse:
     """Builds each model once per instance, lazily, from ``raw(name)``.
 
-    ``as_of`` stands in for today, so a run can be repeated. A model can be saved with
+    ``as_of`` stands in for today, so a run can be repeated. ``registry_keys_unique`` says that
+    keys of partners, contracts, policies and recovery cases never repeat. A model can be saved with
     ``save``; later models then read the stored table and not the plan behind it.
     """
 
@@ -98,6 +99,7 @@ class Warehouse:
             "insurance_liabilities_2024",
             "insurance_liabilities_2025",
         ),
+        registry_keys_unique: bool = False,
     ):
         self.raw = raw
         self.as_of = as_of
@@ -105,6 +107,7 @@ class Warehouse:
         self.last_month = dt.date(as_of.year, 12, 31)
         self.reinsurance_years = reinsurance_years
         self.market_columns = market_columns
+        self.registry_keys_unique = registry_keys_unique
         self._models: dict[str, DataFrame] = {}
         self._stored: set[str] = set()
 
@@ -112,6 +115,8 @@ class Warehouse:
         if name not in self._models:
             if name in MARTS:
                 self._models[name] = MARTS[name](self)
+            elif name == "subrogation_recoveries":
+                self._models[name] = curated.subrogation_recoveries(self.raw, self.registry_keys_unique)
             else:
                 self._models[name] = (CURATED.get(name) or COMPACT[name])(self.raw)
         return self._models[name]

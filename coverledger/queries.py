@@ -440,7 +440,7 @@ def _(b: Bridge) -> DataFrame:
 @query("j06_year_slices")
 def _(b: Bridge) -> DataFrame:
     def year(y: int, name: str) -> DataFrame:
-        rows = b.source("orders").filter(F.year("o_orderdate") == y)
+        rows = b.source("orders").filter(dates.year_range(F.col("o_orderdate"), y, y))
         return rows.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast(money.AMOUNT)).alias(name))
 
     return year(2000, "cy").join(year(1999, "py"), "o_custkey", "full").select(
@@ -851,7 +851,7 @@ def _(b: Bridge) -> DataFrame:
     """Amount texts, some of them too long for an amount."""
     long = F.repeat(F.col("o_orderkey").cast("string"), F.lit(5))
     texts = b.source("orders").select(F.col("o_totalprice").cast("string").alias("price"), long.alias("long"))
-    return quality.unfit_amounts(texts, ["price", "long"])
+    return quality.unfit_amounts(texts, ["price", "long"], money.AMOUNT)
 
 
 @query("q03_premium_total")

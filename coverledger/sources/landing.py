@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from coverledger import catalog
 from coverledger.functions.cleaning import clean_date, strip_to_null
-from coverledger.functions.money import AMOUNT
+from coverledger.functions.money import READ
 
 
 def landing_schema(width: int) -> T.StructType:
@@ -81,7 +81,7 @@ def column_class(name: str) -> str:
     if name in catalog.REINSURANCE_INT_COLUMNS:
         return "int"
     if name in catalog.REINSURANCE_NUMERIC_COLUMNS:
-        return AMOUNT
+        return READ
     return "string"
 
 
@@ -96,7 +96,7 @@ def clean_typed(text: Column, name: str) -> Column:
     if kind == "int":
         number = text.try_cast("double")
         return F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("int")
-    return text.try_cast(AMOUNT) if kind == AMOUNT else text
+    return text.try_cast(READ) if kind == READ else text
 
 
 def clean_typed_table(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:

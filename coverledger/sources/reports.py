@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from coverledger.functions.reports import is_list, is_number, report_body, variant_number
-from coverledger.functions.money import AMOUNT
+from coverledger.functions.money import READ
 from coverledger.operators.upsert import latest_wins, upsert
 
 
@@ -57,8 +57,8 @@ def investment_rows(reports: DataFrame, path: str = "$.OperationResult") -> Data
     listed = is_list(F.col("_value"))
     rows = explode_list(entries, F.when(listed, F.col("_value")))
     item_amount = F.when(
-        F.try_variant_get("_item", "$.amount", "variant").isNull(), F.lit(0).cast(AMOUNT)
-    ).otherwise(F.try_variant_get("_item", "$.amount", AMOUNT))
+        F.try_variant_get("_item", "$.amount", "variant").isNull(), F.lit(0).cast(READ)
+    ).otherwise(F.try_variant_get("_item", "$.amount", READ))
     return rows.filter(F.col("_item").isNotNull() | (~listed & is_number(F.col("_value")))).select(
         "report_date",
         F.col("code").alias("category"),

@@ -134,3 +134,19 @@ def test_report_values(spark):
     ).collect()
     assert tuple(rows[0]) == (Decimal("12345678901234.5678"), None, Decimal(7), None, 0, 4)
     assert all(r.loans is None and r.deposits == 0 for r in rows[1:])
+
+
+def test_large_and_fine_numbers_are_read_whole(spark):
+    from coverledger.functions.cleaning import clean_numeric
+
+    texts = ["1234567890123456789", "999999999999999999999 UZS", "0.00001"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(clean_numeric(F.col("t")).alias("v")).collect()
+    assert [r["v"] for r in got] == [Decimal(1234567890123456789), Decimal(999999999999999999999), Decimal("0.00001")]
+
+
+def test_rates_keep_ten_decimals(spark):
+    from coverledger.functions.money import convert
+
+    df = spark.createDataFrame([(2, Decimal("1.0000"), Decimal("12.3456789012"))], "c int, a decimal(22,4), r decimal(18,10)")
+    got = df.select(convert(F.col("c"), F.col("a"), F.col("a"), F.col("r")).alias("v")).first()["v"]
+    assert got == Decimal("12.3456789012")

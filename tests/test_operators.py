@@ -225,3 +225,15 @@ def test_report_order_of_nulls(spark):
     assert [tuple(r) for r in ordering.report_order(df, [("n", "desc"), ("s", "asc")]).collect()] == [
         (None, "a"), (2, "c"), (2, None), (1, "b")]
     assert ordering.preview(df, [("n", "asc"), ("s", "asc")], 2).count() == 2
+
+
+def test_rows_without_need_and_late_rows_spread(spark):
+    """Rows that need no rate get none; those after the last rate get it, over many keys."""
+    rates = spark.createDataFrame([(2, dt.datetime(2000, 1, 1), Decimal("12.3456789"))], "val_type int, kurs_date timestamp_ntz, kurs decimal(18,10)")
+    rows = spark.range(2000).select(
+        "id", (F.col("id") % 2 + 1).cast("int").alias("cur"), F.lit("2005-06-07 08:00:00").cast("timestamp_ntz").alias("at"))
+    rated = asof.with_rate(rows, rates, "cur", "at", needed=F.col("cur") != 1)
+    got = {r["cur"]: (r["n"], r["low"], r["high"]) for r in rated.groupBy("cur").agg(
+        F.count("*").alias("n"), F.min("rate").alias("low"), F.max("rate").alias("high")).collect()}
+    rate = Decimal("12.3456789000")
+    assert got == {1: (1000, None, None), 2: (1000, rate, rate)}
