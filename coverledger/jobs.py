@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from coverledger import catalog
 from coverledger.operators.ordering import preview
 from coverledger.operators.quality import load_summary, profile
-from coverledger.plans.warehouse import CURATED, MARTS, Warehouse
+from coverledger.plans.warehouse import COMPACT, CURATED, MARTS, Warehouse
 from coverledger.session import checkpoint_dir, tune
 from coverledger.sources import landing, sinks, snapshots
 from coverledger.streaming import loads
@@ -34,10 +34,14 @@ def raw_folder(spark: SparkSession, root: str):
 
 
 def run_models(warehouse: Warehouse, out: str, select: list[str] | None = None) -> list[str]:
-    """Save all models, or the selected ones; returns the names saved."""
+    """Save all models, or the selected ones; returns the names saved.
+
+    Selected models read the layers that an earlier run stored, where there are any.
+    """
     if not select:
         warehouse.save_all(out)
         return [*CURATED, *MARTS]
+    warehouse.read_stored(out, [n for n in [*CURATED, *COMPACT, *MARTS] if n not in select])
     for name in select:
         warehouse.save(name, out)
     return select

@@ -30,6 +30,16 @@ def first_month(rows: DataFrame, start: str) -> Column:
     return rows.agg(F.last_day(F.min(F.col(start).cast("date")))).scalar()
 
 
+def months_between(start: Column, end: Column, as_of: dt.date) -> Column:
+    """First days of the months from start to end; an open end reaches to ``as_of``.
+
+    Null, so that an explode gives no row, where the end lies before the start.
+    """
+    first = F.trunc(start.cast("date"), "MM")
+    last = F.trunc(F.coalesce(end.cast("date"), F.lit(as_of)), "MM")
+    return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
+
+
 def active_balance(
     rows: DataFrame,
     start: str,

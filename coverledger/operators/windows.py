@@ -16,6 +16,14 @@ def change_from_previous(value: str, partition: list[str], order: str) -> Column
     return F.col(value) - F.lag(value, 1, 0).over(spec)
 
 
+def share_of_summed(df: DataFrame, keys: list[str], value: str, total: str, share: str) -> DataFrame:
+    """As ``share_of_total``, for rows already summed per category: a group is a short list,
+    so one window over it spares the second computation of the input."""
+    whole = F.sum(value).over(Window.partitionBy(*keys))
+    totals = df.withColumn(total, whole)
+    return totals.withColumn(share, ratio_or_zero(F.col(value), F.col(total)) * 100.0)
+
+
 def share_of_total(df: DataFrame, keys: list[str], value: str, total: str, share: str) -> DataFrame:
     """Add the total of the row's group and the row's percentage of it, 0 for a zero total.
 

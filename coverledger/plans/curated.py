@@ -2,7 +2,8 @@
 
 Every model takes ``raw``, a function from table name to DataFrame. The wide models
 take the names of the columns wanted, so a mart plans two columns and not 128. Audit
-columns (``loaded_at``, ``updated_at``) are added when a table is saved, see ``warehouse``.
+columns (``loaded_at``, ``updated_at``) are added when a table is saved, see ``warehouse``;
+a landing time that the raw table holds is kept.
 """
 
 from __future__ import annotations
@@ -55,9 +56,16 @@ def partner_name(org: str = "tb_orgname", person: str = "tb_name"):
 # ---- landed portfolios -------------------------------------------------------
 
 
+def landing_time(table: DataFrame) -> list:
+    """The time at which a row was landed, where the landed table tells it."""
+    return [F.col("loaded_at").try_cast("timestamp").alias("loaded_at")] if "loaded_at" in table.columns else []
+
+
 def claims_portfolio(raw: Raw, columns: Columns = None) -> DataFrame:
     names = _wanted(catalog.CLAIMS_COLUMNS, columns)
-    landed = conform(raw("claims_portfolio"), names)
+    table = raw("claims_portfolio")
+    stamp = landing_time(table) if columns is None else []
+    landed = conform(table, [*names, *["loaded_at" for _ in stamp]])
 
     def cleaned(name: str):
         c = F.col(name)
@@ -65,7 +73,7 @@ def claims_portfolio(raw: Raw, columns: Columns = None) -> DataFrame:
             return clean_date(c)
         return clean_numeric(c) if name in catalog.CLAIMS_NUMERIC_COLUMNS else F.trim(c)
 
-    return landed.select(*[cleaned(c).alias(c) for c in names], _scenario())
+    return landed.select(*[cleaned(c).alias(c) for c in names], _scenario(), *stamp)
 
 
 def _reinsurance(table: DataFrame, columns: list[str]) -> DataFrame:
@@ -142,11 +150,13 @@ def investment_activity(raw: Raw) -> DataFrame:
 
 
 def solvency_adequacy_ratio(raw: Raw) -> DataFrame:
-    return raw("solvency_adequacy").select(
+    table = raw("solvency_adequacy")
+    return table.select(
         parse_day_first_date(F.col("report_date")).alias("report_date"),
         "actual_solvency_margin_adequacy_ratio",
         "required_solvency_margin_adequacy_ratio",
         _scenario(),
+        *landing_time(table),
     )
 
 

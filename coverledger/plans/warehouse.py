@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, functions as F
 
 from coverledger.operators.ordering import report_order
 from coverledger.plans import curated, marts
-from coverledger.sources.sinks import read_snapshot_table, write_snapshot
+from coverledger.sources.sinks import has_files, read_snapshot_table, write_snapshot
 
 # Model name -> builder. Curated builders read raw tables, marts read the warehouse.
 CURATED: dict[str, Callable] = {
@@ -28,6 +28,16 @@ CURATED: dict[str, Callable] = {
     "product_dimension": curated.product_dimension,
     "solvency_adequacy_ratio": curated.solvency_adequacy_ratio,
 }
+# Curated tables that tell when a row was landed and stored.
+AUDITED = (
+    "claims_portfolio",
+    "reinsurance_incoming",
+    "reinsurance_outgoing",
+    "balance_sheet",
+    "financial_performance",
+    "investment_activity",
+    "solvency_adequacy_ratio",
+)
 # Compact forms the marts read instead of the row-level curated table.
 COMPACT: dict[str, Callable] = {
     "premium_sums": curated.premium_sums,
@@ -110,8 +120,10 @@ class Warehouse:
         self.registry_keys_unique = registry_keys_unique
         self._models: dict[str, DataFrame] = {}
         self._stored: set[str] = set()
+        self._earlier: dict[str, str] = {}  # model name -> root of an earlier run, not looked up yet
 
     def __getitem__(self, name: str) -> DataFrame:
+        self._read_earlier(name)
         if name not in self._models:
             if name in MARTS:
                 self._models[name] = MARTS[name](self)
@@ -124,11 +136,13 @@ class Warehouse:
     def columns(self, name: str, *columns: str) -> DataFrame:
         """Some columns (and the scenario) of a wide curated model; its dates and amounts
         that no one reads are then never planned."""
+        self._read_earlier(name)
         if name in self._models:
             return self._models[name].select(*columns, "scenario")
         return CURATED[name](self.raw, columns).select(*columns, "scenario")
 
     def stored(self, name: str) -> bool:
+        self._read_earlier(name)
         return name in self._stored
 
     def report(self, name: str) -> DataFrame:
@@ -138,17 +152,34 @@ class Warehouse:
 
     def save(self, name: str, root: str) -> DataFrame:
         """Write one model as Parquet with its audit columns, and read it back from there on."""
-        layer = "presentation" if name in MARTS else "curated"
-        path = f"{root}/{layer}/{name}"
+        path = self._path(name, root)
         model = self[name]
-        audited = model.withColumn("updated_at", F.current_timestamp())
-        if name in CURATED:
-            audited = audited.withColumn("loaded_at", F.current_timestamp())
-        write_snapshot(audited, path)
+        stamps = {"loaded_at": F.current_timestamp(), "updated_at": F.current_timestamp()} if name in AUDITED else {}
+        write_snapshot(model.withColumns({c: at for c, at in stamps.items() if c not in model.columns}), path)
         self._models[name] = read_snapshot_table(model.sparkSession, path, model.schema)
         self._stored.add(name)
         return self._models[name]
 
+    @staticmethod
+    def _path(name: str, root: str) -> str:
+        return f"{root}/{'presentation' if name in MARTS else 'curated'}/{name}"
+
+    def read_stored(self, root: str, names: Collection[str]) -> None:
+        """From here on read the named models from what an earlier run saved under the root.
+
+        Each is looked up when it is first asked for; without a stored slice (never saved,
+        or saved empty) it is planned from raw.
+        """
+        self._earlier |= dict.fromkeys(names, root)
+
+    def _read_earlier(self, name: str) -> None:
+        if name not in self._earlier:
+            return
+        path, model = self._path(name, self._earlier.pop(name)), self[name]
+        if has_files(model.sparkSession, f"{path}/snapshot=current"):
+            self._models[name] = read_snapshot_table(model.sparkSession, path, model.schema)
+            self._stored.add(name)
+
     def save_all(self, root: str) -> None:
         """Curated tables first, then the marts that read them."""
         for name in [*CURATED, *COMPACT, *MARTS]:

@@ -466,9 +466,7 @@ def _(b: Bridge) -> DataFrame:
 
 @query("j09_explode_months")
 def _(b: Bridge) -> DataFrame:
-    start, end = F.col("loandate_from").cast("date"), F.col("loandate_to").cast("date")
-    first, last = F.trunc(start, "MM"), F.trunc(F.coalesce(end, start), "MM")
-    months = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
+    months = active.months_between(F.col("loandate_from"), F.col("loandate_to"), AS_OF)
     return b("ins_invloan").select("ins_id", F.explode(months).alias("month"))
 
 
@@ -585,7 +583,7 @@ def _(b: Bridge) -> DataFrame:
 
 @query("w03_share_of_total")
 def _(b: Bridge) -> DataFrame:
-    return windows.share_of_total(_price_by_month(b), ["report_month"], "amount", "month_total", "share_pct")
+    return windows.share_of_summed(_price_by_month(b), ["report_month"], "amount", "month_total", "share_pct")
 
 
 @query("o01_report_order")

@@ -53,11 +53,18 @@ def read_snapshot(
     bounds: tuple[int, int] | None = None,
     partitions: int = 64,
     fetch_size: int = 10000,
+    one_task: bool = False,
     **options: str,
 ) -> DataFrame:
-    """JDBC read split by a numeric or date column, so no table passes through one task."""
+    """JDBC read split by a numeric or date column, so no table passes through one task.
+
+    A small table without such a column is read whole if ``one_task`` says so.
+    """
+    split = partition_column is not None and bounds is not None
+    if not split and not one_task:
+        raise ValueError(f"{table}: give a partition column and its bounds, or one_task=True")
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=str(fetch_size), **options)
-    if partition_column is not None and bounds is not None:
+    if split:
         reader = reader.options(
             partitionColumn=partition_column,
             lowerBound=str(bounds[0]),

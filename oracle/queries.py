@@ -455,7 +455,7 @@ _QUERIES = {
         "amount",
     ),
     "j09_explode_months": """SELECT ins_id, CAST(unnest(generate_series(date_trunc('month', loandate_from),
-        date_trunc('month', coalesce(loandate_to, loandate_from)), INTERVAL 1 MONTH)) AS DATE) AS month FROM ins_invloan""",
+        date_trunc('month', coalesce(loandate_to, DATE '2000-12-31')), INTERVAL 1 MONTH)) AS DATE) AS month FROM ins_invloan""",
     "j10_semi_recovery": finish(
         "SELECT ins_id, pym_summa FROM ins_bank_client b WHERE EXISTS (SELECT 1 FROM ins_regress_bank r WHERE r.bc_id = b.ins_id)", "pym_summa"
     ),

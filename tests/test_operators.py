@@ -237,3 +237,18 @@ def test_rows_without_need_and_late_rows_spread(spark):
         F.count("*").alias("n"), F.min("rate").alias("low"), F.max("rate").alias("high")).collect()}
     rate = Decimal("12.3456789000")
     assert got == {1: (1000, None, None), 2: (1000, rate, rate)}
+
+
+def test_months_between_guards(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, DATE'2025-01-31', DATE'2025-03-01'), (2, DATE'2025-05-01', DATE'2025-04-30'), "
+        "(3, DATE'2025-11-15', NULL), (4, NULL, NULL), (5, DATE'2026-02-01', NULL) t(i, a, b)"
+    )
+    got = df.select("i", F.explode(active.months_between(F.col("a"), F.col("b"), dt.date(2025, 12, 31))).alias("m"))
+    assert sorted((r.i, r.m.month) for r in got.collect()) == [(1, 1), (1, 2), (1, 3), (3, 11), (3, 12)]
+
+
+def test_share_of_summed(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, None, 0.0)], "i int, k string, v double")
+    got = {r.i: (r.t, r.s) for r in windows.share_of_summed(df, ["k"], "v", "t", "s").collect()}
+    assert got == {1: (4.0, 25.0), 2: (4.0, 75.0), 3: (0.0, 0.0)}

@@ -174,3 +174,8 @@ def test_investment_rows(spark):
     want = [("Loans", None, None, Decimal(5)), ("Bonds", "p", "c", Decimal("1.25")), ("Bonds", "q", None, Decimal(0)),
             ("Bonds", None, None, None), ("Bonds", None, None, Decimal("2.5")), ("Bonds", None, None, Decimal(0))]
     assert got == sorted(want, key=str)
+
+
+def test_unsplit_database_read_is_refused(spark):
+    with pytest.raises(ValueError, match="partition column"):
+        snapshots.read_snapshot(spark, "jdbc:none", "big_table")

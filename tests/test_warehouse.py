@@ -27,6 +27,23 @@ def test_stored_run_gives_the_same_marts(spark, sf_dir, tmp_path):
         assert values(stored[name]) == values(plan[name]), name
     saved = spark.read.parquet(f"{tmp_path}/curated/claims_portfolio")
     assert {"loaded_at", "updated_at"} <= set(saved.columns)
+    assert not {"loaded_at", "updated_at"} & set(spark.read.parquet(f"{tmp_path}/curated/deposits").columns)
+    later = Bridge(spark, sf_dir).warehouse()
+    later.read_stored(str(tmp_path), ["premium_sums", "claims_portfolio", "loans"])
+    assert later.stored("premium_sums") and later.stored("claims_portfolio") and not later.stored("deposits")
+    assert values(later["financial_ratios_monthly"]) == values(plan["financial_ratios_monthly"])
+
+
+def test_landing_time_is_kept(spark, tmp_path):
+    landed = spark.createDataFrame(
+        [("01-02-2025", "1", "2", "2025-03-04T05:06:07.5"), (None, None, None, "soon")],
+        "report_date string, actual_solvency_margin_adequacy_ratio string, "
+        "required_solvency_margin_adequacy_ratio string, loaded_at string",
+    )
+    w = Warehouse(lambda name: landed, AS_OF)
+    w.save("solvency_adequacy_ratio", str(tmp_path))
+    got = {r.loaded_at for r in spark.read.parquet(f"{tmp_path}/curated/solvency_adequacy_ratio").collect()}
+    assert got == {dt.datetime(2025, 3, 4, 5, 6, 7, 500000), None}
 
 
 def test_invariants(spark, sf_dir):
