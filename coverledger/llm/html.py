@@ -37,6 +37,9 @@ NAMES = frozenset(
     "toolbar skip".split()
 )
 KEPT = frozenset("html body article main".split())
+ARTICLE = frozenset("article main".split())
+# Headings and paragraphs often have slugs as ids; in an article, sections as well.
+SLUGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p".split())
 # A start tag ends these open elements, up to the nearest of the elements that bound them.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -65,19 +68,31 @@ _NAME = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "link", "tags", "links", "density", "total")
+    __slots__ = (
+        "tag", "parent", "inside", "named", "parts", "chars", "link", "tags", "links", "density", "total"
+    )
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
+        self.inside = tag in ARTICLE or parent is not None and parent.inside
+        self.named = False  # whether a word of its class or id is in NAMES
         self.parts: list[Node | str] = []
         self.chars = self.link = self.tags = self.links = 0
         self.density = self.total = 0.0
 
 
-def _is_furniture(tag: str, attributes: str, stack: list[Node]) -> bool:
+def _is_furniture(node: Node, attributes: str) -> bool:
+    """Whether an element is page furniture by its tag or attributes.
+
+    Outside article and main, one word of a class or id is enough (``cookie-notice``), but for
+    headings and paragraphs a whole name has to be in NAMES. Inside, headings, sections and
+    paragraphs are not judged by name, and other elements by whole names; where a word only is
+    in NAMES, the node is ``named`` and its links decide later.
+    """
+    tag, within = node.tag, node.parent.inside
     if tag in FURNITURE:
         return True
-    if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+    if tag == "header" and not within:
         return True
     if not attributes or tag in KEPT:
         return False
@@ -89,10 +104,13 @@ def _is_furniture(tag: str, attributes: str, stack: list[Node]) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and not NAMES.isdisjoint(
-            w.lower() for w in _NAME.findall(value)
-        ):
-            return True
+        if name in ("class", "id") and not (within and (tag in SLUGS or tag == "section")):
+            if not NAMES.isdisjoint(value.lower().split()):
+                return True
+            if not NAMES.isdisjoint(w.lower() for w in _NAME.findall(value)):
+                if not within and tag not in SLUGS:
+                    return True
+                node.named = True
     return False
 
 
@@ -158,7 +176,7 @@ def parse(html: str) -> Node:
             continue
         node = Node(tag, stack[-1])
         if not skipped:
-            if _is_furniture(tag, attributes, stack):
+            if _is_furniture(node, attributes):
                 skipped = len(stack)
             else:
                 stack[-1].parts.append(node)
@@ -224,7 +242,7 @@ def choose(root: Node) -> list[Node]:
     path = [top]
     while path[-1].parent:
         path.append(path[-1].parent)
-    around = [n for n in path if n.tag in ("article", "main")]
+    around = [n for n in path if n.tag in ARTICLE]
     if around:
         top = around[-1]
         path = path[path.index(top) :]
@@ -245,6 +263,9 @@ def choose(root: Node) -> list[Node]:
 
 
 def _is_menu(node: Node) -> bool:
+    """Inside an article only elements whose name speaks of furniture can be menus."""
+    if node.inside and not node.named:
+        return False
     return node.tag in ("ul", "ol", "dl", "div", "section", "table", "p") and (
         node.links >= 3 and node.link * 10 >= node.chars * 8
     )
