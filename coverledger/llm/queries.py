@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverledger.llm import (
+    bpe,
     embeddings,
     exact,
     html,
@@ -30,10 +31,10 @@ from coverledger.llm.common import table, work_folder
 SHARDS = 24
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @functools.lru_cache(maxsize=4)
@@ -134,6 +135,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -153,6 +165,7 @@ QUERIES = {
         op8_language_id,
         op9_html_extraction,
         op10_best_fit_packing,
+        op11_byte_bpe,
         pipeline,
     )
 }
