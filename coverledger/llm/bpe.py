@@ -6,19 +6,20 @@ import base64
 import functools
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coverledger.llm.common import groups
+
 #: Code points that are scanned at once, in one or many texts.
 WINDOW = 1 << 19
-#: Slices whose ids a worker looks up at once, and remembers in each of two generations.
-AT_ONCE, REMEMBERED = 1 << 18, 120_000
-#: Bytes of the longest slice that is remembered, and from which merging keeps a heap.
-SHORT, LONG = 48, 64
+#: Slices whose ids are looked up at once, and what a worker remembers of slices at most.
+AT_ONCE, REMEMBERED, REMEMBERED_BYTES = 1 << 18, 300_000, 16 << 20
+#: Bytes from which merging keeps a heap; shorter slices are merged so many at a time.
+LONG, MERGED = 64, 20_000
 
 # Classes of code points; END stands between texts.
 OTHER, LETTER, NUMBER, WHITE, END = range(5)
@@ -192,43 +193,162 @@ def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
     return joined.encode("utf-8"), begin[~ending], finish[~ending], np.append(0, before)
 
 
-class Merger(dict):
-    """Ids of slices by pair merging; remembers short slices, the most recent ones at least."""
+class Pairs:
+    """The rank of the token that two neighbouring tokens make: an open hash table in arrays.
+
+    Any way to cut a token's bytes into two tokens is such a pair.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
+        cuts = [
+            (ranks[t[:k]], ranks[t[k:]], rank)
+            for t, rank in ranks.items()
+            for k in range(1, len(t))
+            if t[:k] in ranks and t[k:] in ranks
+        ]
+        left, right, made = np.array(cuts or [(0, 0, 0)], np.int64).T[:, : len(cuts)]
+        self.count = max(ranks.values()) + 1
+        self.bits = max(4, (4 * len(cuts)).bit_length())
+        self.keys, self.made = np.full(1 << self.bits, -1), np.zeros(1 << self.bits, np.int64)
+        keys = left * self.count + right
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] < 0)
+            own, first = np.unique(slots[free], return_index=True)
+            self.keys[own], self.made[own] = keys[free[first]], made[free[first]]
+            rest = np.flatnonzero(self.keys[slots] != keys)
+            keys, made = keys[rest], made[rest]
+            slots = (slots[rest] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """_END_CODE where the two make no token."""
+        keys = left * self.count + right
+        slots = self._slots(keys)
+        out = np.full(len(keys), _END_CODE, np.int64)
+        open_ = np.arange(len(keys))
+        while len(open_):
+            held = self.keys[slots]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.made[slots[hit]]
+            on = np.flatnonzero(~hit & (held >= 0))
+            open_, slots = open_[on], (slots[on] + 1) & (len(self.keys) - 1)
+        return out
+
+
+class _Numbers(dict):
+    """Numbers keys as they are first asked for, and lists the new ones."""
+
+    def __init__(self):
         super().__init__()
-        self.ranks, self.old = ranks, {}
-
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.merge(piece)
-        if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Joins the neighbours of the lowest rank, the first of equal ones, until none has a rank."""
-        ranks = self.ranks
-        if piece in ranks:
-            return (ranks[piece],)
-        if len(piece) >= LONG:
-            return self._merge_long(piece)
-        parts = [piece[k : k + 1] for k in range(len(piece))]
-        while len(parts) > 1:
-            found = [ranks.get(a + b, _END_CODE) for a, b in zip(parts, parts[1:])]
-            least = min(found)
-            if least == _END_CODE:
-                break
-            k = found.index(least)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return tuple(ranks[p] for p in parts)
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        self.new.append(piece)
+        self[piece] = number = len(self)
+        return number
+
 
-    def _merge_long(self, piece: bytes) -> tuple[int, ...]:
-        """The same with a heap of pairs, so that n bytes take n log n steps."""
+class Merger:
+    """Ids of slices by pair merging. Remembers the ids of the slices it has met, and forgets all
+    when they are more than REMEMBERED or longer together than REMEMBERED_BYTES."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.pairs = ranks, Pairs(ranks)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        """A slice's number leads to the place and number of its ids in the pool."""
+        self.number, self.held = _Numbers(), 0
+        self.at, self.n, self.pool = np.zeros((3, 0), np.int64)
+
+    def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many each slice has."""
+        if len(self.number) > REMEMBERED or self.held > REMEMBERED_BYTES:
+            self._forget()
+        which = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        if self.number.new:
+            self._learn(self.number.new)
+            self.number.new = []
+        n = self.n[which]
+        until = np.cumsum(n)
+        place = np.repeat(self.at[which] - until + n, n)
+        return self.pool[place + np.arange(len(place))], n
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Whole tokens, long slices one by one, and the others by merging together."""
+        whole = [self.ranks.get(p, -1) for p in new]
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        rest = np.flatnonzero(np.array(whole) < 0)
+        long_, short = rest[size[rest] >= LONG], rest[size[rest] < LONG]
+        n = np.ones(len(new), np.int64)
+        found = {k: self.merge_long(new[k]) for k in long_.tolist()}
+        n[long_] = [len(ids) for ids in found.values()]
+        merged = []
+        for a in range(0, len(short), MERGED):
+            some = short[a : a + MERGED]
+            ids, n[some] = self.merge([new[k] for k in some.tolist()])
+            merged.append(ids)
+        at = np.cumsum(n) - n
+        pool = np.repeat(np.array(whole, np.int64), n)
+        for k, ids in found.items():
+            pool[at[k] : at[k] + n[k]] = ids
+        if merged:
+            own = np.repeat(at[short] - np.cumsum(n[short]) + n[short], n[short])
+            pool[own + np.arange(len(own))] = np.concatenate(merged)
+        self.at = np.concatenate([self.at, at + len(self.pool)])
+        self.n = np.concatenate([self.n, n])
+        self.pool = np.concatenate([self.pool, pool])
+        self.held += int(size.sum())
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many each piece has.
+
+        Each round joins, in every piece, the neighbours of the lowest rank, the first of equal
+        ones; pieces in which no two neighbours make a token leave.
+        """
+        done = []
+        token = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        piece = np.repeat(np.arange(len(pieces)), list(map(len, pieces)))
+        last = np.append(piece[1:] != piece[:-1], True)
+        rank = np.full(len(token), _END_CODE, np.int64)
+        inner = np.flatnonzero(~last)
+        rank[inner] = self.pairs.rank(token[inner], token[inner + 1])
+        while len(token):
+            first = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+            size = np.diff(first, append=len(token))
+            least = np.minimum.reduceat(rank, first)
+            ended = least == _END_CODE
+            if ended.any():
+                on = np.repeat(~ended, size)
+                done.append((piece[~on], token[~on]))
+                token, piece, rank = token[on], piece[on], rank[on]
+                size, least = size[~ended], least[~ended]
+            if not len(token):
+                break
+            at = np.flatnonzero(rank == np.repeat(least, size))
+            at = at[np.append(True, piece[at[1:]] != piece[at[:-1]])]
+            token[at] = rank[at]
+            stay = np.ones(len(token), bool)
+            stay[at + 1] = False
+            token, piece, rank = token[stay], piece[stay], rank[stay]
+            at -= np.arange(len(at))  # one token left before each of them
+            around = np.concatenate([at, at[at > 0] - 1])
+            ends = np.append(piece[1:] != piece[:-1], True)[around]
+            rank[around[ends]] = _END_CODE
+            around = around[~ends]
+            rank[around] = self.pairs.rank(token[around], token[around + 1])
+        piece, token = (np.concatenate(c) for c in zip(*done))
+        order = np.argsort(piece, kind="stable")
+        return token[order], np.bincount(piece, minlength=len(pieces))
+
+    def merge_long(self, piece: bytes) -> list[int]:
+        """The ids of one piece with a heap of pairs, so that n bytes take n log n steps."""
         ranks, n = self.ranks, len(piece)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = bytearray(b"\1") * n
@@ -257,14 +377,14 @@ class Merger(dict):
         while a < n:
             out.append(ranks[piece[a : end[a]]])
             a = end[a]
-        return tuple(out)
+        return out
 
 
 class Encoder:
     """Encodes texts, many at once; ``ranks`` holds every single byte."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ids_of = Merger(ranks)
+        self.merger = Merger(ranks)
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.size[rank] = len(token)
@@ -276,10 +396,10 @@ class Encoder:
         ids, counts = [], []
         for a in range(0, len(begin), AT_ONCE):
             spans = zip(begin[a : a + AT_ONCE].tolist(), finish[a : a + AT_ONCE].tolist())
-            found = list(map(self.ids_of.__getitem__, [held[b:e] for b, e in spans]))
-            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
-            ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(counts[-1].sum())))
-        none = [np.zeros(0, np.int32)]
+            found, n = self.merger.ids_of([held[b:e] for b, e in spans])
+            ids.append(found)
+            counts.append(n)
+        none = [np.zeros(0, np.int64)]
         all_ids = np.concatenate(ids or none)
         until = np.append(0, np.cumsum(np.concatenate(counts or none), dtype=np.int64))
         bounds = until[before]
@@ -341,18 +461,6 @@ def _decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))
 
 
-def _groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows whose sizes add up to ``most``, or one row that is larger."""
-    a, held = 0, 0
-    for b, size in enumerate(sizes.tolist()):
-        if b > a and held + size > most:
-            yield a, b
-            a, held = b, 0
-        held += size
-    if a < len(sizes):
-        yield a, len(sizes)
-
-
 def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id column, ``ids`` and ``offsets`` (the byte of the text where each token starts).
 
@@ -367,7 +475,7 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             texts = batch.column(1).to_pylist()
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            for a, b in _groups(sizes, WINDOW):
+            for a, b in groups(sizes, WINDOW):
                 ids, offsets, bounds = encoder.encode(texts[a:b])
                 at = pa.array(bounds, pa.int32())
                 columns = [
@@ -393,7 +501,7 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id") -> DataFrame:
         decoder = _decoder(ranks)
         for batch in batches:
             counts = np.asarray(batch.column(1).value_lengths().fill_null(0), np.int64)
-            for a, b in _groups(counts, WINDOW):
+            for a, b in groups(counts, WINDOW):
                 ids, offsets = (batch.column(k).slice(a, b - a).flatten() for k in (1, 2))
                 bounds = np.append(0, np.cumsum(counts[a:b]))
                 found, until = decoder.decode(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,15 @@ def keep_rows(docs: DataFrame, chosen: DataFrame, keys: dict[str, Column]) -> Da
     keyed = docs.select("*", *(c.alias(k) for k, c in keys.items()))
     found = keyed.join(chosen.select(*names), names, "left_semi")
     return found.dropDuplicates(names).select(*docs.columns)
+
+
+def groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose sizes add up to ``most``, or one row that is larger."""
+    a, held = 0, 0
+    for b, size in enumerate(sizes.tolist()):
+        if b > a and held + size > most:
+            yield a, b
+            a, held = b, 0
+        held += size
+    if a < len(sizes):
+        yield a, len(sizes)

@@ -37,10 +37,12 @@ def small_windows(monkeypatch):
     monkeypatch.setattr(bpe, "WINDOW", 5)
     monkeypatch.setattr(bpe, "AT_ONCE", 7)
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "LONG", 9)
+    monkeypatch.setattr(bpe, "MERGED", 2)
 
 
 def check(library, texts):
-    encoder, decoder = bpe.Encoder(bpe.read_ranks(FILE)), bpe._decoder(FILE)
+    encoder, decoder = bpe._encoder(FILE), bpe._decoder(FILE)
     ids, offsets, bounds = encoder.encode(texts)
     found, until = decoder.decode(ids, offsets, bounds)
     for k, text in enumerate(texts):
@@ -59,6 +61,7 @@ def test_ids_offsets_and_bytes(library, texts):
 
 
 def test_windows_and_forgetting(library, small_windows):
+    bpe._encoder(FILE).merger._forget()
     rng = random.Random(3)
     for _ in range(60):
         check(library, ["".join(rng.choices(ALPHABET, k=rng.randint(0, 60))) for _ in range(4)])
