@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverledger.llm import (
+    alignment,
     bpe,
     embeddings,
     exact,
@@ -22,6 +23,7 @@ from coverledger.llm import (
     mixing,
     packing,
     scoring,
+    search,
     sharding,
     simhash,
     substrings,
@@ -146,6 +148,18 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return search.search(documents, items)
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    digest = functools.partial(F.sha2, numBits=256)
+    rows = alignment.align(table(spark, sf_dir, "documents"), *files, groups_as=digest)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -166,6 +180,8 @@ QUERIES = {
         op9_html_extraction,
         op10_best_fit_packing,
         op11_byte_bpe,
+        op12_ranked_search,
+        op13_cross_tokenizer_alignment,
         pipeline,
     )
 }

@@ -86,9 +86,38 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts WINDOW same AS (PARTITION BY t)
 """
 
+OP12 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), totals AS (
+  SELECT count(*) FILTER (len(terms) > 0)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS length FROM docs
+), tfs AS (
+  SELECT doc_id, term, len(terms) AS n, count(*) AS tf
+  FROM (SELECT doc_id, terms, unnest(terms) AS term FROM docs) GROUP BY doc_id, term, terms
+), dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term
+), scores AS (
+  SELECT item_id, doc_id, sum(repeats
+      * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+      * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // length))))::BIGINT AS score
+  FROM asked JOIN dfs USING (term) JOIN tfs USING (term), totals GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+  FROM scores WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
+
 ORACLE = {
     "op3_substring_dedup": OP3,
     "op4_source_mixing": OP4,
     "op6_embedding_near_dedup": OP6,
     "op7_exact_dedup": OP7,
+    "op12_ranked_search": OP12,
 }

@@ -7,6 +7,7 @@ import re
 import pytest
 
 import corpus_pipeline
+from coverledger.llm.common import cut
 from coverledger.llm.queries import QUERIES, tokenizer_file
 from coverledger.llm.sql import ORACLE
 from tests.compare import compare
@@ -25,26 +26,26 @@ def test_stages_against_plain_python(spark, sf_dir):
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["language_id", "exact_dedup", "near_dedup", "mix", "pack"]
 
-    told = corpus_pipeline.cut(stages["language_id"](spark, docs, sf_dir))
+    told = cut(stages["language_id"](spark, docs, sf_dir))
     rows = told.collect()
     assert told.columns == docs.columns
     assert {r["doc_id"] for r in rows} == {
         r["doc_id"] for r in docs.collect() if re.search(r"[^\W\d_]", r["text"] or "")
     }
 
-    exact = corpus_pipeline.cut(stages["exact_dedup"](spark, told, sf_dir))
+    exact = cut(stages["exact_dedup"](spark, told, sf_dir))
     first = {}
     for r in sorted(rows, key=lambda r: r["doc_id"]):
         first.setdefault(normal(r["text"]), r)
     assert sorted(exact.collect()) == sorted(first.values())
 
-    near = corpus_pipeline.cut(stages["near_dedup"](spark, exact, sf_dir))
+    near = cut(stages["near_dedup"](spark, exact, sf_dir))
     fps = {r["doc_id"]: plain_fingerprint(r["text"]) for r in first.values()}
     links = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
     root = classes_of(links, fps)
     assert {r["doc_id"] for r in near.collect()} == {d for d in fps if root[d] == d}
 
-    mixed = corpus_pipeline.cut(stages["mix"](spark, near, sf_dir))
+    mixed = cut(stages["mix"](spark, near, sf_dir))
     assert mixed.columns == docs.columns
     sizes = lambda df: sum(len(r["text"].split()) for r in df.collect())
     assert sizes(mixed) == pytest.approx(1.5 * sizes(near), rel=0.05)
