@@ -1,54 +1,7 @@
-"""Corpus preparation: language, copies, near copies, mixture, packed sequences."""
+"""Corpus preparation, stage by stage; the stages are in ``coverledger.llm.pipeline``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from coverledger.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from coverledger.llm import exact, language, mixing, packing, similar
-from coverledger.llm.common import cut, table
-from coverledger.llm.queries import tokenizer_file
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told, with that language."""
-    return language.accepted_documents(docs)
-
-
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return exact.drop_copies(docs)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard of 0.8 or more)."""
-    return similar.drop_near_copies(docs)
-
-
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mixture takes them."""
-    return mixing.mixed_documents(docs)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in packed sequences."""
-    return packing.pack_documents(docs, tokenizer_file())
-
-
-STAGES = [
-    ("language_id", language_id),
-    ("exact_dedup", exact_dedup),
-    ("near_dedup", near_dedup),
-    ("mix", mix),
-    ("pack", pack),
-]
-
-#: Trained models, XXH64 and a tokenizer are beyond SQL; tests compare with plain Python.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stage's rows stored and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
