@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -65,8 +66,8 @@ def plain():
             links[text] = own
             both, parts = sorted(set(a_end) & set(b_end)), []
             for x, y in zip([0, *both], both):
-                ids = [[k for k, e in zip(*side) if x < e <= y] for side in ((a, a_end), (b, b_end))] if len(a) < 3000 else [
-                    side[0][np.searchsorted(side[1], x, "right") : np.searchsorted(side[1], y, "right")]
+                ids = [
+                    side[0][bisect_right(side[1], x) : bisect_right(side[1], y)]
                     for side in ((a, a_end), (b, b_end))
                 ]
                 parts.append("|".join(",".join(map(str, i)) for i in ids))
