@@ -85,32 +85,39 @@ def _functions() -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 _FUNCTIONS, _OF_KIND, _THEN, _IDENTITY = _functions()
 
 
-@functools.lru_cache(maxsize=1)
-def classes() -> np.ndarray:
-    """The class of every code point, as the pattern engine of the rank files' library has it.
+@functools.lru_cache(maxsize=2)
+def classes(library: str = "tiktoken") -> np.ndarray:
+    """The class of every code point, as the pattern engine of a tokenizer library has it.
 
-    That engine is asked once, with a vocabulary of single bytes, which code points its three
-    classes hold, so that both follow the same version of Unicode.
+    The engine is asked once which code points its three classes hold, so that both follow the
+    same version of Unicode: tiktoken with a vocabulary of single bytes, tokenizers by a split.
     """
-    import tiktoken
-
-    single = {bytes([b]): b for b in range(256)}
-    points = [c for c in range(0x40000) if not 0xD800 <= c < 0xE000]
-    text = "".join(map(chr, points))
+    points = "".join(map(chr, [c for c in range(0x40000) if not 0xD800 <= c < 0xE000]))
     table = np.full(_END_CODE + 1, OTHER, np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
-        asked = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={})
-        held = bytes(asked.encode_ordinary(text)).decode("utf-8")
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (WHITE, r"\s")):
+        if library == "tiktoken":
+            import tiktoken
+
+            single = {bytes([b]): b for b in range(256)}
+            asked = tiktoken.Encoding(
+                "class", pat_str=pattern, mergeable_ranks=single, special_tokens={}
+            )
+            held = bytes(asked.encode_ordinary(points)).decode("utf-8")
+        else:
+            from tokenizers import Regex, pre_tokenizers
+
+            asked = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+            held = "".join(part for part, _ in asked.pre_tokenize_str(points))
         table[np.frombuffer(held.encode("utf-32-le"), "<u4")] = kind
     table[_END_CODE] = END
     return table
 
 
-def kinds(codes: np.ndarray, n: int) -> np.ndarray:
-    """The kinds of the first ``n`` codes; those after them are only looked at."""
+def kinds(codes: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
+    """The kinds of the first ``n`` codes by their classes; those after them are only looked at."""
     codes = np.concatenate([codes, np.full(max(0, n + 2 - len(codes)), _END_CODE, codes.dtype)])
     kind_of_class = np.array([K_OTHER, K_LETTER, K_NUMBER, K_INNER, K_END], np.uint8)
-    own = classes()[codes[: n + 1]]
+    own = table[codes[: n + 1]]
     out = kind_of_class[own[:n]]
     last = np.flatnonzero((own[:n] == WHITE) & (own[1:] != WHITE) & (own[1:] != END))
     out[last] = np.where(codes[last] == ord(" "), K_BLANK, K_LAST)
@@ -163,7 +170,7 @@ def scan(kind: np.ndarray, state: int) -> tuple[np.ndarray, int]:
     return starts.T.ravel()[:n], state
 
 
-def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def slices(texts: list[str], table: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The texts' bytes, each text ended by one zero byte, with the start and end of every slice.
 
     The last array tells of every text how many slices come before it, with the number of all
@@ -178,7 +185,7 @@ def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
         own = np.searchsorted(ends, [a, a + len(codes)])
         codes[ends[own[0] : own[1]] - a] = _END_CODE
         n = min(WINDOW, len(codes))
-        starts, state = scan(kinds(codes, n), state)
+        starts, state = scan(kinds(codes, n, table), state)
         codes = codes[:n]
         ending = codes == _END_CODE
         size = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
@@ -381,10 +388,11 @@ class Merger:
 
 
 class Encoder:
-    """Encodes texts, many at once; ``ranks`` holds every single byte."""
+    """Encodes texts, many at once; ``ranks`` holds every single byte, and ``library`` is the one
+    whose classes of code points hold."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.merger = Merger(ranks)
+    def __init__(self, ranks: dict[bytes, int], library: str = "tiktoken"):
+        self.merger, self.classes = Merger(ranks), classes(library)
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.size[rank] = len(token)
@@ -392,7 +400,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the byte of its text at which each token starts, and the tokens
         before every text, with the number of all tokens at the end."""
-        held, begin, finish, before = slices(texts)
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        held, begin, finish, before = slices(texts, self.classes)
         ids, counts = [], []
         for a in range(0, len(begin), AT_ONCE):
             spans = zip(begin[a : a + AT_ONCE].tolist(), finish[a : a + AT_ONCE].tolist())

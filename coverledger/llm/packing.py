@@ -12,11 +12,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverledger.llm.common import cut
+from coverledger.llm import bpe
+from coverledger.llm.common import cut, groups
 
 #: Tokens of a sequence, and the id that ends a document.
 LENGTH, END = 1024, 2
@@ -25,22 +25,8 @@ DEPTH = 3
 #: Ways to round the repeat counts: a share of them, and the fraction from which to round up. What
 #: is left over packs better the more there is of it; the plan with the fewest sequences is taken.
 ROUNDINGS = ((1.0, 0.5), (1.0, 1.0), (0.9, 1.0), (0.7, 1.0), (0.5, 1.0))
-#: Chunks whose ids a worker remembers; beyond it forgets them all and starts again.
-REMEMBERED = 3_000_000
-#: Bytes of text that are split at once, and beyond which a text is encoded by itself.
-AT_ONCE = 4 << 20
-
-# A chunk is a word with the one blank before it, or white space; the vocabulary's own splitting
-# never joins two of them, so the ids of a text are those of its chunks one after another.
-_CHUNK = regex.compile(r" ?\S+|\s+(?!\S)|\s")
-# White space beyond ASCII; texts with it are split by the pattern above.
-_WIDE = re.compile(
-    rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
-)
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-_FACTOR = 0x9E3779B97F4A7C15
-
+#: All that for fits in which a length's error weighs by these powers of the length.
+POWERS = (2, 1)
 
 def _byte_ranks(path: str) -> dict[bytes, int]:
     """The vocabulary of a byte-level tokenizer file as byte strings with their ids.
@@ -61,119 +47,37 @@ def _byte_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids of texts by a byte-level BPE tokenizer file, as unsigned 32-bit numbers.
+    """Ids of texts by a byte-level BPE tokenizer file, as its own library gives them.
 
-    Texts are cut into chunks a few megabytes at a time with array operations; each chunk is told
-    from others by a 64-bit hash, and only chunks not met before are encoded. Special tokens'
-    strings in a text are ordinary text.
+    A special token's string in a text is that token, and the parts around it are encoded each by
+    itself. The classes of code points are those of the file's library.
     """
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-
-        self.bpe = tiktoken.Encoding(
-            "file",
-            pat_str=public_tokenizers.PATTERN,
-            mergeable_ranks=_byte_ranks(path),
-            special_tokens={},
-        )
-        self._forget()
-
-    def _forget(self) -> None:
-        """What is known: sorted hashes, and where in the pool the ids of each chunk are."""
-        self.hashes = np.zeros(0, np.uint64)
-        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, "<u4")
-
-    def encode(self, text: str) -> np.ndarray:
-        """One text, chunk by chunk."""
-        ids = [i for c in _CHUNK.findall(text) for i in self.bpe.encode_ordinary(c)]
-        return np.array(ids, "<u4")
-
-    def _places(self, hashes: np.ndarray, joined: bytes, begin: np.ndarray, length: np.ndarray):
-        """The places of chunks among the known ones, after encoding those that are new."""
-        places = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), bool)
-        within = places < len(self.hashes)
-        known[within] = self.hashes[places[within]] == hashes[within]
-        new = np.flatnonzero(~known)
-        if len(new):
-            encode = self.bpe.encode_ordinary
-            spans = zip(begin[new].tolist(), length[new].tolist())
-            found = [encode(joined[b : b + n].decode("utf-8")) for b, n in spans]
-            n = np.fromiter(map(len, found), np.int64, len(found))
-            at = len(self.pool) + np.cumsum(n) - n
-            ids = np.fromiter((i for f in found for i in f), "<u4", int(n.sum()))
-            self.pool = np.concatenate([self.pool, ids])
-            self.at = np.insert(self.at, places[new], at)
-            self.n = np.insert(self.n, places[new], n)
-            self.hashes = np.insert(self.hashes, places[new], hashes[new])
-            places = np.searchsorted(self.hashes, hashes)
-        return places
-
-    def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of UTF-8 texts."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        group: list[int] = []
-        held = 0
-        for k, text in enumerate(texts):
-            if len(text) > AT_ONCE or _WIDE.search(text):
-                out[k] = self.encode(text.decode("utf-8"))
-            elif text:
-                group.append(k)
-                held += len(text)
-                if held > AT_ONCE:
-                    self._together(texts, group, out)
-                    group, held = [], 0
+        self.bpe = bpe.Encoder(_byte_ranks(path), "tokenizers")
+        added = json.loads(Path(path).read_text(encoding="utf-8"))["added_tokens"]
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+            raise ValueError("special tokens that take white space or whole words")
+        self.special = {t["content"]: t["id"] for t in added}
+        longest = sorted(self.special, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text, as unsigned 32-bit numbers."""
+        parts = [self.cut.split(t) if self.cut else [t] for t in texts]
+        ids, _, bounds = self.bpe.encode([p for own in parts for p in own[::2]])
+        ids, out, at = ids.astype("<u4"), [], 0
+        for own in parts:
+            n = (len(own) + 1) // 2
+            if n == 1:
+                out.append(ids[bounds[at] : bounds[at + 1]])
             else:
-                out[k] = np.zeros(0, "<u4")
-        if group:
-            self._together(texts, group, out)
+                found = [np.array([self.special.get(p, 0)], "<u4") for p in own]
+                found[::2] = (ids[bounds[k] : bounds[k + 1]] for k in range(at, at + n))
+                out.append(np.concatenate(found))
+            at += n
         return out
 
-    def _together(self, texts: list[bytes], group: list[int], out: list) -> None:
-        if len(self.hashes) > REMEMBERED:
-            self._forget()
-        joined = b"".join(texts[k] for k in group)
-        data = np.frombuffer(joined, np.uint8)
-        sizes = np.array([len(texts[k]) for k in group])
-        ends = np.cumsum(sizes)
-        blank = _BLANK[data]
-        first = np.zeros(len(data), bool)
-        first[ends - sizes] = True
-        after_blank = np.zeros(len(data), bool)
-        after_blank[1:] = blank[:-1]
-        after_blank &= ~first
-        after_other = ~after_blank  # or the first of its text
-        before_other = np.zeros(len(data), bool)
-        before_other[:-1] = ~blank[1:]
-        before_other[ends - 1] = False
-        after_space = np.zeros(len(data), bool)
-        after_space[1:] = data[:-1] == 32
-        after_space &= ~first
-        starts_here = first | np.where(blank, after_other | before_other, after_blank & ~after_space)
-        starts = np.flatnonzero(starts_here)
-        lengths = np.diff(starts, append=len(data))
-
-        # A polynomial hash of every chunk: prefix sums weighted by powers, brought to one place.
-        with np.errstate(over="ignore"):
-            longest = int(lengths.max())
-            place = np.arange(len(data)) - np.repeat(starts, lengths)
-            powers = np.cumprod(np.full(longest, _FACTOR, np.uint64), dtype=np.uint64)
-            hashes = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[place], starts)
-            hashes ^= lengths.astype(np.uint64) << np.uint64(48)
-        distinct, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-        places = self._places(distinct, joined, starts[one], lengths[one])[which]
-        per_chunk = self.n[places]
-        total = np.cumsum(per_chunk)
-        source = np.repeat(self.at[places] - (total - per_chunk), per_chunk)
-        ids = self.pool[source + np.arange(len(source))]
-        chunk_of_text = np.searchsorted(starts, ends - sizes)
-        bounds = np.append(total[chunk_of_text] - per_chunk[chunk_of_text], len(ids)).tolist()
-        for k, a, b in zip(group, bounds, bounds[1:]):
-            out[k] = ids[a:b]
-
 
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
@@ -198,13 +102,20 @@ def tokenized(
     """``id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (and ``ids``) of every document."""
     last = np.array([end], "<u4").tobytes()
 
+    def parts(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            yield from ((batch, texts, a, b) for a, b in groups(sizes, bpe.WINDOW))
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for batch in batches:
+        for batch, texts, a, b in parts(batches):
+            number = {t: k for k, t in enumerate(dict.fromkeys(texts[a:b]))}
+            encoded = encoder.encode_all(list(number))  # a text that repeats is encoded once
             rows: list[tuple] = []
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for at, found in enumerate(encoder.encode_all(texts)):
-                ids = found.tobytes() + last
+            for at in range(a, b):
+                ids = encoded[number[texts[at]]].tobytes() + last
                 for k, (start, n) in enumerate(pieces_of(len(ids) // 4, length)):
                     own = ids[4 * start : 4 * (start + n)]
                     rows.append((at, k, start, n, crc32(own), own if keep_ids else None))
@@ -243,10 +154,12 @@ def patterns(length: int, present: np.ndarray, depth: int = DEPTH) -> np.ndarray
     return np.concatenate(found) if found else np.zeros((0, 3), int)
 
 
-def nnls(patterns_: np.ndarray, wanted: np.ndarray, enter: int = 128) -> dict[int, float]:
+def nnls(
+    patterns_: np.ndarray, wanted: np.ndarray, power: int, enter: int = 128
+) -> dict[int, float]:
     """Repeat counts x >= 0 that minimise |A x - wanted|, A having a column per pattern.
 
-    A length's error weighs by its square: short pieces left over fill gaps, long ones do not.
+    A length's error weighs by a power of it: short pieces left over fill gaps, long ones do not.
 
     An active-set method after Lawson and Hanson: patterns of the largest gradient enter, several
     without a common length at once, the least-squares problem over all active ones is solved,
@@ -254,7 +167,7 @@ def nnls(patterns_: np.ndarray, wanted: np.ndarray, enter: int = 128) -> dict[in
     no longer falls by a hundredth.
     """
     length = len(wanted) - 1
-    weight = (np.arange(length + 1) / length) ** 2
+    weight = (np.arange(length + 1) / length) ** power
     active: list[int] = []
     x = np.zeros(0)
     rest, best = wanted.copy(), np.inf
@@ -342,8 +255,8 @@ def plan(histogram: dict[int, int], length: int = LENGTH, depth: int = DEPTH) ->
         packed[(length,)] = int(counts[length])
         counts[length] = 0
     ways = patterns(length, np.flatnonzero(counts), depth)
-    fit = nnls(ways, counts.astype(float)) if len(ways) else {}
-    found = [_rounded(ways, fit, counts, share, up, length) for share, up in ROUNDINGS]
+    fits = [nnls(ways, counts.astype(float), power) for power in POWERS] if len(ways) else [{}]
+    found = [_rounded(ways, fit, counts, share, up, length) for fit in fits for share, up in ROUNDINGS]
     return list((packed + min(found, key=lambda p: p.total())).items())
 
 

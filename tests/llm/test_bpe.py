@@ -70,14 +70,14 @@ def test_windows_and_forgetting(library, small_windows):
 def test_every_code_point_has_the_class_of_the_library(library):
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     text = "".join(f"a{c}1{c} {c}'s" for c in points[::7] + points[:0x3000])
-    held, begin, finish, _ = bpe.slices([text])
+    held, begin, finish, _ = bpe.slices([text], bpe.classes())
     ids = [i for b, e in zip(begin, finish) for i in library.encode_ordinary(held[b:e].decode())]
     assert ids == library.encode_ordinary(text)
 
 
 def test_slices_are_the_pattern_on_plain_text():
     text = "It's  we'll\n\n'tis 'll''s x're3've  \t y''ve'd"
-    held, begin, finish, before = bpe.slices([text, "", text])
+    held, begin, finish, before = bpe.slices([text, "", text], bpe.classes())
     found = [held[b:e].decode() for b, e in zip(begin, finish)]
     assert found == 2 * regex.findall(public_tokenizers.PATTERN, text)
     assert before.tolist() == [0, len(found) // 2, len(found) // 2, len(found)]
