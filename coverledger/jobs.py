@@ -1,12 +1,14 @@
 """Whole loads and runs, each one call: what a scheduler starts.
 
     python -m coverledger.jobs models --raw RAW --out OUT --as-of 2025-12-31 [--select NAME ...]
+    python -m coverledger.jobs stage --raw RAW --out STAGED [--buckets N]
     python -m coverledger.jobs reinsurance --path FILES --table TABLE --side outgoing
     python -m coverledger.jobs claims-2025 --path FILES --table TABLE [--append] [--dry-run]
     python -m coverledger.jobs drop-folder --path FOLDER --table TABLE [--archive FOLDER]
     python -m coverledger.jobs reports --path FILES --table TABLE
 
-Folders are any paths Spark reads; raw tables are Parquet folders named after the table.
+Folders are any paths Spark reads; raw tables are Parquet folders named after the table, or what
+``stage`` laid out.
 """
 
 from __future__ import annotations
@@ -19,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from coverledger import catalog
 from coverledger.operators.ordering import preview
 from coverledger.operators.quality import load_summary, profile
-from coverledger.plans.warehouse import COMPACT, CURATED, MARTS, Warehouse
+from coverledger.plans.warehouse import CURATED, MARTS, PARTS, Warehouse
 from coverledger.session import checkpoint_dir, tune
-from coverledger.sources import landing, sinks, snapshots
+from coverledger.sources import landing, layout, sinks, snapshots
 from coverledger.streaming import loads
 
 CLAIMS_2025_WIDTH = max(catalog.CLAIMS_2025_POSITIONS) + 1
@@ -29,7 +31,9 @@ REPORT_SCHEMA = "report_date date, payload_json string, ingested_at timestamp_nt
 
 
 def raw_folder(spark: SparkSession, root: str):
-    """Raw tables stored as ``root/name``."""
+    """Raw tables stored as ``root/name``, or laid out under the root by ``stage``."""
+    if layout.published(spark, root.rstrip("/")):
+        return layout.Staged(spark, root.rstrip("/"))
     return lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
@@ -41,7 +45,7 @@ def run_models(warehouse: Warehouse, out: str, select: list[str] | None = None)
     if not select:
         warehouse.save_all(out)
         return [*CURATED, *MARTS]
-    warehouse.read_stored(out, [n for n in [*CURATED, *COMPACT, *MARTS] if n not in select])
+    warehouse.read_stored(out, [n for n in [*PARTS, *CURATED, *MARTS] if n not in select])
     for name in select:
         warehouse.save(name, out)
     return select
@@ -128,6 +132,10 @@ def main(argv: list[str] | None = None) -> None:
     models.add_argument("--reinsurance-years", nargs=2, type=int, metavar=("FIRST", "SECOND"))
     models.add_argument("--market-columns", nargs=6, help="premium, claims and liabilities of the market, prior and current year each")
     models.add_argument("--registry-keys-unique", action="store_true")
+    stage = jobs.add_parser("stage")
+    stage.add_argument("--raw", required=True)
+    stage.add_argument("--out", required=True)
+    stage.add_argument("--buckets", type=int, help="of the tables that meet on the contract; by size if not given")
     for name in ("reinsurance", "claims-2025", "drop-folder", "reports"):
         job = jobs.add_parser(name)
         job.add_argument("--path", required=True)
@@ -149,6 +157,9 @@ def main(argv: list[str] | None = None) -> None:
         )
         for name in run_models(warehouse, args.out, args.select):
             print(name)
+    elif args.job == "stage":
+        tables = sinks.folder_names(spark, args.raw)
+        layout.stage(raw_folder(spark, args.raw), tables, spark, args.out.rstrip("/"), args.buckets)
     elif args.job == "reinsurance":
         load_reinsurance(spark, args.path, args.table, args.side).show(truncate=False)
     elif args.job == "claims-2025":

@@ -28,6 +28,7 @@ from coverledger.functions.reports import report_body, report_number
 from coverledger.operators.asof import with_rate
 from coverledger.operators.lookup import left_join_copies, lookup_value
 from coverledger.sources.landing import column_class, conform
+from coverledger.sources.layout import by_contract, rows_between
 from coverledger.sources.reports import explode_list
 
 Raw = Callable[[str], DataFrame]
@@ -203,6 +204,10 @@ def _payment_premium():
 
 def general_premium_rows(raw: Raw) -> DataFrame:
     """Premium and liability of every linked payment."""
+    return by_contract(_general_premium_rows, raw)
+
+
+def _general_premium_rows(raw: Raw) -> DataFrame:
     contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv")
     ordinary = F.col("ins_type") != 3
     return _linked_payments(raw, contracts).select(
@@ -217,11 +222,17 @@ def general_premium_rows(raw: Raw) -> DataFrame:
 
 
 def _motor_payments(raw: Raw) -> DataFrame:
-    payments = raw("tb_oplata").filter(F.col("tb_typepl") == 1).select(F.col("tb_anketa").alias("anketa_id"), "bc_id")
+    """Motor payments with their contract and bank payment."""
+    paid = raw("tb_oplata").filter(F.col("tb_typepl") == 1)
+    return paid.select(F.col("tb_anketa").alias("anketa_id"), "bc_id")
+
+
+def _when_paid(payments: DataFrame, raw: Raw) -> DataFrame:
+    """Payments that the bank has booked, with the day."""
     bank = raw("ins_bank_client").filter(F.col("status") == 2).select(
         F.col("ins_id").alias("_bank_id"), F.col("pym_date").cast("date").alias("payment_date")
     )
-    return payments.join(bank, F.col("bc_id") == F.col("_bank_id"), "inner").select("anketa_id", "payment_date")
+    return payments.join(bank, F.col("bc_id") == F.col("_bank_id"), "inner").drop("bc_id", "_bank_id")
 
 
 def motor_policies(raw: Raw) -> DataFrame:
@@ -230,11 +241,18 @@ def motor_policies(raw: Raw) -> DataFrame:
 
 def motor_liability_rows(raw: Raw) -> DataFrame:
     """One row per contract, policy, payment and vehicle, repeats kept on purpose."""
+    return by_contract(_motor_liability_rows, raw)
+
+
+def _motor_liability_rows(raw: Raw) -> DataFrame:
     contracts = raw("tb_anketa").select(F.col("tb_id").alias("anketa_id"))
     policies = motor_policies(raw).select(F.col("tb_anketa").alias("anketa_id"), "tb_summa")
     vehicles = raw("tb_avto").select(F.col("tb_anketa").alias("anketa_id"))
     rows = (
-        _motor_payments(raw).join(contracts, "anketa_id").join(policies, "anketa_id").join(vehicles, "anketa_id")
+        _when_paid(_motor_payments(raw), raw)
+        .join(contracts, "anketa_id")
+        .join(policies, "anketa_id")
+        .join(vehicles, "anketa_id")
     )
     return rows.select(
         "payment_date",
@@ -246,25 +264,30 @@ def motor_liability_rows(raw: Raw) -> DataFrame:
 
 
 def motor_liability_sums(raw: Raw) -> DataFrame:
-    """``motor_liability_rows`` summed per contract and payment date.
+    """``motor_liability_rows`` summed per payment.
 
-    Every side is reduced to one row per contract (or contract and date) before it is
-    joined, so the policy x payment x vehicle combinations are counted, never emitted.
+    Policies and vehicles are reduced to one row per contract before they are joined, so the
+    policy x payment x vehicle combinations are counted, never emitted. The contract's key comes
+    first, on which bucketed tables need no exchange, then the bank's.
     """
-    payments = _motor_payments(raw).groupBy("anketa_id", "payment_date").agg(F.count(F.lit(1)).alias("_payments"))
+    return by_contract(_motor_liability_sums, raw)
+
+
+def _motor_liability_sums(raw: Raw) -> DataFrame:
     contracts = raw("tb_anketa").groupBy(F.col("tb_id").alias("anketa_id")).agg(F.count(F.lit(1)).alias("_contracts"))
     policies = motor_policies(raw).groupBy(F.col("tb_anketa").alias("anketa_id")).agg(
         F.sum(money.amount_or_zero(F.col("tb_summa"))).alias("_liability")
     )
     vehicles = raw("tb_avto").groupBy(F.col("tb_anketa").alias("anketa_id")).agg(F.count(F.lit(1)).alias("_vehicles"))
-    rows = payments.join(contracts, "anketa_id").join(policies, "anketa_id").join(vehicles, "anketa_id")
-    copies = F.col("_payments") * F.col("_contracts") * F.col("_vehicles")
-    return rows.select(
+    rows = _motor_payments(raw).join(contracts, "anketa_id").join(policies, "anketa_id").join(vehicles, "anketa_id")
+    liability = _times(F.col("_liability"), F.col("_contracts") * F.col("_vehicles")).cast(money.CONVERTED)
+    rows = rows.select("anketa_id", "bc_id", liability.alias("liability_amount"))
+    return _when_paid(rows, raw).select(
         "payment_date",
         F.lit(21).alias("source_query_id"),
         "anketa_id",
         F.lit(0).cast(money.CONVERTED).alias("premium_amount"),
-        _times(F.col("_liability"), copies).cast(money.CONVERTED).alias("liability_amount"),
+        "liability_amount",
     )
 
 
@@ -287,11 +310,15 @@ def motor_payment_keys(raw: Raw) -> DataFrame:
     )
     for keys in held:
         rows = rows.join(keys, F.col("anketa_id") == F.col("_key"), "left_semi")
-    return rows
+    return _when_paid(rows, raw)
 
 
 def premium_amounts(raw: Raw) -> DataFrame:
     """Date and premium of ``insurance_premium``, without its liabilities and repeated motor rows."""
+    return by_contract(_premium_amounts, raw)
+
+
+def _premium_amounts(raw: Raw) -> DataFrame:
     contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"))
     general = _linked_payments(raw, contracts).select("payment_date", _payment_premium().alias("premium_amount"))
     motor = motor_payment_keys(raw).select("payment_date", F.lit(0).cast(money.CONVERTED).alias("premium_amount"))
@@ -305,6 +332,10 @@ def premium_amounts_by_owner(raw: Raw) -> DataFrame:
     where each contract row knows how often its key occurs: that count replaces the first
     join. Count and join share the shuffle on the contract key.
     """
+    return by_contract(_premium_amounts_by_owner, raw)
+
+
+def _premium_amounts_by_owner(raw: Raw) -> DataFrame:
     contracts = raw("ins_anketa").filter(F.col("ins_id").isNotNull()).select(
         F.col("ins_id").alias("_contract"),
         F.col("owner").alias("partner_id"),
@@ -336,9 +367,7 @@ def premium_total(raw: Raw, start: dt.date, end: dt.date, registry_keys_unique:
     payments = raw("ins_oplata").filter(F.col("ins_type") != 3).select(
         "anketa_id", "polis_id", "bc_id", "akt", "opl_val", "opl_data", "oplata", "opl_summa"
     )
-    bank = raw("ins_bank_client").filter((F.col("pym_date") >= start) & (F.col("pym_date") < end)).select(
-        F.col("ins_id").alias("_bank_id")
-    )
+    bank = rows_between(raw, "ins_bank_client", start, end).select(F.col("ins_id").alias("_bank_id"))
     contracts = raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv", "owner")
     rows = (
         payments.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
@@ -379,6 +408,10 @@ def premium_total(raw: Raw, start: dt.date, end: dt.date, registry_keys_unique:
 
 def commission_rows(raw: Raw) -> DataFrame:
     """General and motor commissions with the partner's id in place of the name."""
+    return by_contract(_commission_rows, raw)
+
+
+def _commission_rows(raw: Raw) -> DataFrame:
     acts = raw("ins_agent_akt").filter(F.col("active") == 2).select(
         F.col("ins_id").alias("_act"), F.col("akt_date").cast("date").alias("commission_date")
     )
@@ -404,9 +437,9 @@ def commission_rows(raw: Raw) -> DataFrame:
     )
     policies = motor_policies(raw).select(F.col("tb_anketa").alias("_policy_contract"), "tb_komissia", "akt")
     motor = (
-        policies.join(acts, F.col("akt") == F.col("_act"), "inner")
-        .join(motor_contracts, F.col("_policy_contract") == F.col("_contract"), "inner")
+        policies.join(motor_contracts, F.col("_policy_contract") == F.col("_contract"), "inner")
         .join(motor_payments, F.col("_contract") == F.col("_pay_contract"), "inner")
+        .join(acts, F.col("akt") == F.col("_act"), "inner")
         .select(
             "transaction_id",
             "commission_date",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Collection
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coverledger.operators.ordering import report_order
 from coverledger.plans import curated, marts
+from coverledger.sources import layout
 from coverledger.sources.sinks import has_files, read_snapshot_table, write_snapshot
 
 # Model name -> builder. Curated builders read raw tables, marts read the warehouse.
@@ -38,11 +40,24 @@ AUDITED = (
     "investment_activity",
     "solvency_adequacy_ratio",
 )
-# Compact forms the marts read instead of the row-level curated table.
-COMPACT: dict[str, Callable] = {
-    "premium_sums": curated.premium_sums,
+# Join results that several models share; each is stored once and read by all of them.
+PARTS: dict[str, Callable] = {
+    "premium_general": curated.general_premium_rows,
+    "premium_motor_sums": curated.motor_liability_sums,
     "commission_rows": curated.commission_rows,
 }
+# Compact forms the marts read instead of the row-level curated table, as unions of parts.
+COMPACT: dict[str, tuple[str, ...]] = {"premium_sums": ("premium_general", "premium_motor_sums")}
+# Row tables stored by month of a date, so that a range of days reads the files of its months.
+MONTHLY = {
+    "premium_general": "payment_date",
+    "premium_motor_sums": "payment_date",
+    "insurance_premium": "payment_date",
+    "commission_rows": "commission_date",
+    "agency_commissions": "commission_date",
+    "subrogation_recoveries": "recovery_payment_date",
+    "terminated_contracts": "termination_date",
+}
 # Marts in an order in which each finds what it reads.
 MARTS: dict[str, Callable] = {
     "financial_kpi": marts.financial_kpi,
@@ -120,19 +135,29 @@ class Warehouse:
         self.registry_keys_unique = registry_keys_unique
         self._models: dict[str, DataFrame] = {}
         self._stored: set[str] = set()
+        self._roots: dict[str, str] = {}  # stored monthly table -> its folder
         self._earlier: dict[str, str] = {}  # model name -> root of an earlier run, not looked up yet
 
     def __getitem__(self, name: str) -> DataFrame:
         self._read_earlier(name)
         if name not in self._models:
-            if name in MARTS:
-                self._models[name] = MARTS[name](self)
-            elif name == "subrogation_recoveries":
-                self._models[name] = curated.subrogation_recoveries(self.raw, self.registry_keys_unique)
-            else:
-                self._models[name] = (CURATED.get(name) or COMPACT[name])(self.raw)
+            self._models[name] = self._planned(name)
         return self._models[name]
 
+    def _planned(self, name: str) -> DataFrame:
+        """A model's plan over raw tables, stored models and the parts that it shares with others."""
+        if name in MARTS:
+            return MARTS[name](self)
+        if name in COMPACT:
+            return reduce(DataFrame.unionByName, [self[part] for part in COMPACT[name]])
+        if name == "insurance_premium":
+            return self["premium_general"].unionByName(curated.motor_liability_rows(self.raw))
+        if name == "agency_commissions":
+            return curated.with_partner(self["commission_rows"], self.raw)
+        if name == "subrogation_recoveries":
+            return curated.subrogation_recoveries(self.raw, self.registry_keys_unique)
+        return (CURATED.get(name) or PARTS[name])(self.raw)
+
     def columns(self, name: str, *columns: str) -> DataFrame:
         """Some columns (and the scenario) of a wide curated model; its dates and amounts
         that no one reads are then never planned."""
@@ -142,24 +167,51 @@ class Warehouse:
         return CURATED[name](self.raw, columns).select(*columns, "scenario")
 
     def stored(self, name: str) -> bool:
+        if name in COMPACT:
+            return all(self.stored(part) for part in COMPACT[name])
         self._read_earlier(name)
         return name in self._stored
 
+    def between(self, name: str, start: dt.date, end: dt.date) -> DataFrame:
+        """Rows of a monthly table from ``start`` up to but not on ``end``; a stored one reads
+        the files of those months only."""
+        if self.stored(name) and name in self._roots:
+            return layout.read_months(self[name].sparkSession, self._roots[name], start, end)
+        day = F.col(MONTHLY[name])
+        return self[name].filter((day >= start) & (day < end))
+
     def report(self, name: str) -> DataFrame:
         """A model in the order it is served in."""
         sort = report_sort(name)
         return report_order(self[name], sort) if sort else self[name]
 
     def save(self, name: str, root: str) -> DataFrame:
-        """Write one model as Parquet with its audit columns, and read it back from there on."""
+        """Write one model as Parquet with its audit columns, and read it back from there on.
+
+        Row tables are laid out by month. A compact form is stored as its parts.
+        """
+        if name in COMPACT:
+            for part in COMPACT[name]:
+                self.save(part, root)
+            self._models.pop(name, None)
+            return self[name]
         path = self._path(name, root)
         model = self[name]
+        if name in MONTHLY:
+            layout.write_months(model, path, MONTHLY[name])
+            return self._read_months(name, path, model.sparkSession)
         stamps = {"loaded_at": F.current_timestamp(), "updated_at": F.current_timestamp()} if name in AUDITED else {}
         write_snapshot(model.withColumns({c: at for c, at in stamps.items() if c not in model.columns}), path)
         self._models[name] = read_snapshot_table(model.sparkSession, path, model.schema)
         self._stored.add(name)
         return self._models[name]
 
+    def _read_months(self, name: str, path: str, spark: SparkSession) -> DataFrame:
+        self._models[name] = layout.read_months(spark, path)
+        self._stored.add(name)
+        self._roots[name] = path
+        return self._models[name]
+
     @staticmethod
     def _path(name: str, root: str) -> str:
         return f"{root}/{'presentation' if name in MARTS else 'curated'}/{name}"
@@ -170,19 +222,23 @@ class Warehouse:
         Each is looked up when it is first asked for; without a stored slice (never saved,
         or saved empty) it is planned from raw.
         """
-        self._earlier |= dict.fromkeys(names, root)
+        for name in names:
+            self._earlier |= dict.fromkeys(COMPACT.get(name, (name,)), root)
 
     def _read_earlier(self, name: str) -> None:
         if name not in self._earlier:
             return
         path, model = self._path(name, self._earlier.pop(name)), self[name]
-        if has_files(model.sparkSession, f"{path}/snapshot=current"):
+        if name in MONTHLY:
+            if layout.published(model.sparkSession, path):
+                self._read_months(name, path, model.sparkSession)
+        elif has_files(model.sparkSession, f"{path}/snapshot=current"):
             self._models[name] = read_snapshot_table(model.sparkSession, path, model.schema)
             self._stored.add(name)
 
     def save_all(self, root: str) -> None:
-        """Curated tables first, then the marts that read them."""
-        for name in [*CURATED, *COMPACT, *MARTS]:
+        """Shared parts first, then curated tables, then the marts that read both."""
+        for name in [*PARTS, *CURATED, *MARTS]:
             self.save(name, root)
 
     def create_views(self, names: list[str] | None = None) -> None:

@@ -20,7 +20,7 @@ from coverledger.operators import active, asof, lookup, merge, ordering, quality
 from coverledger.plans import curated, marts
 from coverledger.plans.warehouse import CURATED, MARTS, report_sort
 from coverledger.session import checkpoint_dir, tune
-from coverledger.sources import landing, reports, sinks, snapshots
+from coverledger.sources import landing, layout, reports, sinks, snapshots
 from coverledger.streaming import loads
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -894,6 +894,24 @@ def _(b: Bridge) -> DataFrame:
     return b.spark.read.parquet(f"{root}/monthly")
 
 
+@query("s22_staged_premium")
+def _(b: Bridge) -> DataFrame:
+    """Monthly premium over raw tables that are bucketed by contract and partitioned by month."""
+    names = [*layout.CONTRACT_KEYS, "ins_bank_client", "ins_kurs"]
+    staged = layout.stage(b, names, b.spark, _new_folder(b, "staged"))
+    month = dates.month_start(F.col("payment_date")).alias("report_month")
+    sums = [F.sum(c).alias(c) for c in ("premium_amount", "liability_amount")]
+    return curated.premium_sums(staged).groupBy(month).agg(*sums)
+
+
+@query("s22_month_range")
+def _(b: Bridge) -> DataFrame:
+    """Half a year of commissions, read from a table stored by month that holds all of them."""
+    w = b.warehouse()
+    w.save("agency_commissions", _new_folder(b, "months"))
+    return w.between("agency_commissions", dt.date(1997, 1, 1), dt.date(1997, 7, 1))
+
+
 @query("t02_latest_per_date")
 def _(b: Bridge) -> DataFrame:
     """Events as a file stream, kept at the newest event of each day."""

@@ -62,6 +62,14 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the tables stored under a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = (s.getPath().getName() for s in store.listStatus(place))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
 def _replace(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 

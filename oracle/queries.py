@@ -618,6 +618,15 @@ _QUERIES["s22_stored_model"] = finish(
     count(*) AS n FROM q_terminated GROUP BY 1""",
     "terminated_amount",
 )
+_QUERIES["s22_staged_premium"] = finish(
+    """SELECT CAST(date_trunc('month', payment_date) AS DATE) AS report_month, sum(premium_amount) AS premium_amount,
+    sum(liability_amount) AS liability_amount FROM q_premium GROUP BY 1""",
+    "premium_amount liability_amount",
+)
+_QUERIES["s22_month_range"] = finish(
+    "SELECT * FROM q_commission WHERE commission_date >= DATE '1997-01-01' AND commission_date < DATE '1997-07-01'",
+    "commission_amount_uzs",
+)
 _QUERIES["t02_latest_per_date"] = """SELECT report_date, event_id, ts, user_id, event_type FROM (
     SELECT *, CAST(ts AS DATE) AS report_date, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n
     FROM events) t WHERE n = 1"""
