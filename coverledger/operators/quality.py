@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coverledger.functions.cleaning import clean_numeric
 from coverledger.functions.money import READ
@@ -57,6 +57,38 @@ def unfit_amounts(df: DataFrame, columns: list[str], amount_type: str = READ) ->
     )
 
 
+def load_metrics(columns: list[str], by: str | None = None, names: list[str] = ()) -> dict[str, Column]:
+    """What ``load_summary`` and ``profile`` count, as metrics that a write can observe.
+
+    Rows read and skipped as empty, per name of ``by`` where names are given, and non-null values
+    per column. One pass computes and writes the rows and counts them.
+    """
+    empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])
+    out = {f"non_null_{k}": F.count(c) for k, c in enumerate(columns)}
+    for k, name in enumerate(names):
+        own = F.col(by).eqNullSafe(F.lit(name))
+        out |= {f"read_{k}": F.count_if(own), f"skipped_{k}": F.count_if(own & empty)}
+    return out | {"read": F.count(F.lit(1)), "skipped": F.count_if(empty)}
+
+
+def observed_rows(seen: dict[str, int], names: list[str]) -> list[tuple[str, int, int, int]]:
+    """Name, rows read, skipped and inserted, from observed metrics."""
+    counts = [(n, seen[f"read_{k}"], seen[f"skipped_{k}"]) for k, n in enumerate(names)]
+    return [(n, read, skipped, read - skipped) for n, read, skipped in counts]
+
+
+def observed_summary(spark: SparkSession, seen: dict[str, int], by: str, names: list[str]) -> DataFrame:
+    """``load_summary`` from observed metrics."""
+    return spark.createDataFrame(observed_rows(seen, names), f"{by} string, rows_read long, rows_skipped long, rows_inserted long")
+
+
+def observed_profile(spark: SparkSession, seen: dict[str, int], columns: list[str]) -> DataFrame:
+    """``profile`` of the rows that are not empty, from observed metrics."""
+    total = seen["read"] - seen["skipped"]
+    rows = [(c, seen[f"non_null_{k}"], total) for k, c in enumerate(columns)]
+    return spark.createDataFrame(rows, "column_name string, non_null long, total_rows long")
+
+
 def load_summary(landed: DataFrame, columns: list[str], by: str) -> DataFrame:
     """Rows read, skipped as empty and inserted, per source."""
     empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns])

@@ -23,12 +23,14 @@ from coverledger.functions.cleaning import (
     digits_in,
     first_filled,
     parse_day_first_date,
+    strip_to_null,
 )
 from coverledger.functions.reports import report_body, report_number
 from coverledger.operators.asof import with_rate
 from coverledger.operators.lookup import left_join_copies, lookup_value
 from coverledger.sources.landing import column_class, conform
 from coverledger.sources.layout import by_contract, rows_between
+from coverledger.sources.rejected import with_rejected
 from coverledger.sources.reports import explode_list
 
 Raw = Callable[[str], DataFrame]
@@ -62,19 +64,28 @@ def landing_time(table: DataFrame) -> list:
     return [F.col("loaded_at").try_cast("timestamp").alias("loaded_at")] if "loaded_at" in table.columns else []
 
 
-def claims_portfolio(raw: Raw, columns: Columns = None) -> DataFrame:
+def claims_portfolio(raw: Raw, columns: Columns = None, rejected: bool = False) -> DataFrame:
+    """Claims with dates and amounts read from text; with ``rejected`` also the values of a row
+    that these cannot hold."""
     names = _wanted(catalog.CLAIMS_COLUMNS, columns)
     table = raw("claims_portfolio")
     stamp = landing_time(table) if columns is None else []
-    landed = conform(table, [*names, *["loaded_at" for _ in stamp]])
+    kinds = dict.fromkeys(catalog.CLAIMS_NUMERIC_COLUMNS, money.READ) | dict.fromkeys(catalog.CLAIMS_DATE_COLUMNS, "date")
+    source = {c: f"_text_{c}" if rejected and c in kinds else c for c in names}
+    landed = conform(table, [*names, *["loaded_at" for _ in stamp]]).withColumnsRenamed(source)
 
     def cleaned(name: str):
-        c = F.col(name)
+        c = F.col(source[name])
         if name in catalog.CLAIMS_DATE_COLUMNS:
             return clean_date(c)
         return clean_numeric(c) if name in catalog.CLAIMS_NUMERIC_COLUMNS else F.trim(c)
 
-    return landed.select(*[cleaned(c).alias(c) for c in names], _scenario(), *stamp)
+    texts = {c: source[c] for c in names if source[c] != c}
+    rows = landed.select(*[cleaned(c).alias(c) for c in names], _scenario(), *stamp, *texts.values())
+    if not rejected:
+        return rows
+    trimmed = {c: strip_to_null(F.col(t)) for c, t in texts.items()}
+    return with_rejected(rows, trimmed, {c: kinds[c] for c in texts}).drop(*texts.values())
 
 
 def _reinsurance(table: DataFrame, columns: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coverledger.operators.ordering import report_order
 from coverledger.plans import curated, marts
-from coverledger.sources import layout
+from coverledger.sources import layout, rejected
 from coverledger.sources.sinks import has_files, read_snapshot_table, write_snapshot
 
 # Model name -> builder. Curated builders read raw tables, marts read the warehouse.
@@ -48,6 +48,10 @@ PARTS: dict[str, Callable] = {
 }
 # Compact forms the marts read instead of the row-level curated table, as unions of parts.
 COMPACT: dict[str, tuple[str, ...]] = {"premium_sums": ("premium_general", "premium_motor_sums")}
+# Models that read values from text: a builder that tells which do not fit, and their row key.
+REJECTING: dict[str, tuple[Callable, list[str]]] = {
+    "claims_portfolio": (curated.claims_portfolio, ["record_id", "claim_id"]),
+}
 # Row tables stored by month of a date, so that a range of days reads the files of its months.
 MONTHLY = {
     "premium_general": "payment_date",
@@ -188,7 +192,8 @@ class Warehouse:
     def save(self, name: str, root: str) -> DataFrame:
         """Write one model as Parquet with its audit columns, and read it back from there on.
 
-        Row tables are laid out by month. A compact form is stored as its parts.
+        Row tables are laid out by month. A compact form is stored as its parts. Values that the
+        model reads from text and cannot hold go to ``root/rejected``, replaced with every run.
         """
         if name in COMPACT:
             for part in COMPACT[name]:
@@ -200,8 +205,18 @@ class Warehouse:
         if name in MONTHLY:
             layout.write_months(model, path, MONTHLY[name])
             return self._read_months(name, path, model.sparkSession)
+        checked = name in REJECTING and name not in self._stored
+        if checked:
+            model = REJECTING[name][0](self.raw, rejected=True)
         stamps = {"loaded_at": F.current_timestamp(), "updated_at": F.current_timestamp()} if name in AUDITED else {}
-        write_snapshot(model.withColumns({c: at for c, at in stamps.items() if c not in model.columns}), path)
+        rows = model.withColumns({c: at for c, at in stamps.items() if c not in model.columns})
+        if checked:
+            seen = write_snapshot(rows, path, rejected=rejected.rejected_count())
+            stored = read_snapshot_table(model.sparkSession, path, rows.schema)
+            rejected.keep_rejected(stored, f"{root}/rejected", name, REJECTING[name][1], seen["rejected"])
+            model = model.drop(rejected.REJECTED)
+        else:
+            write_snapshot(rows, path)
         self._models[name] = read_snapshot_table(model.sparkSession, path, model.schema)
         self._stored.add(name)
         return self._models[name]

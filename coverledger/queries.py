@@ -10,17 +10,18 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from coverledger import catalog
+from coverledger import catalog, jobs
 from coverledger.bridge import AS_OF, SCHEMAS, Bridge
 from coverledger.functions import cleaning, dates, money, ratios, reports as json_values
 from coverledger.operators import active, asof, lookup, merge, ordering, quality, upsert, windows
 from coverledger.plans import curated, marts
 from coverledger.plans.warehouse import CURATED, MARTS, report_sort
 from coverledger.session import checkpoint_dir, tune
-from coverledger.sources import landing, layout, reports, sinks, snapshots
+from coverledger.sources import landing, layout, rejected, reports, sinks, snapshots
 from coverledger.streaming import loads
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -882,6 +883,81 @@ def _(b: Bridge) -> DataFrame:
     return b.spark.read.parquet(f"{root}/table")
 
 
+def _land_files(b: Bridge, rows: DataFrame, folder: str, prefix: str) -> None:
+    """Rows as headerless files whose names begin with a prefix."""
+    written = f"{folder}-{prefix}written"
+    rows.write.csv(written)
+    path = b.spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(b.spark._jsparkSession.sessionState().newHadoopConf())
+    store.mkdirs(path(folder))
+    for name in sinks.folder_names(b.spark, written):
+        store.rename(path(f"{written}/{name}"), path(f"{folder}/{prefix}{name}"))
+
+
+@query("s08_quarantine")
+def _(b: Bridge) -> DataFrame:
+    """Orders in routed files, some without a row number, and customers in files without a route:
+    what was loaded, what was not a row, and what was left where it is, after two runs."""
+    root = _new_folder(b, "quarantine")
+    number = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("n"), F.col("o_orderkey")))
+    number = F.coalesce(number, (F.col("o_orderkey") + 10).cast("string"))
+    _land_files(b, b.source("orders").select(number, "o_orderkey", "o_orderstatus"), f"{root}/drop", "Claims_")
+    _land_files(b, b.source("customer").select("c_custkey", "c_name"), f"{root}/drop", "notes_")
+    for _ in range(2):
+        loads.load_drop_folder(b.spark, f"{root}/drop", f"{root}/table", f"{root}/state").awaitTermination()
+    loaded = b.spark.read.parquet(f"{root}/table").select(F.lit("loaded").alias("kind"), F.col("record_id").alias("value"))
+    lost = b.spark.read.parquet(f"{root}/table_quarantine/rows").select(F.lit("not a row"), F.split("text", ",")[0])
+    left = b.spark.read.parquet(f"{root}/table_quarantine/files").select(
+        F.lit("left"), F.regexp_extract("source_file", "^[a-z]+_", 0)
+    )
+    return loaded.union(lost).union(left.distinct())
+
+
+@query("s20_observed_load")
+def _(b: Bridge) -> DataFrame:
+    """The load summary as the write itself observed it."""
+    columns, names, counted = ["a", "b", "c"], ["A", "N", "R"], Observation()
+    metrics = quality.load_metrics(columns, "source_name", names)
+    read = _sparse(b).observe(counted, *(m.alias(k) for k, m in metrics.items()))
+    sinks.write_snapshot(landing.drop_empty(read, columns), _new_folder(b, "observed"))
+    return quality.observed_summary(b.spark, counted.get, "source_name", names)
+
+
+@query("s05_rejected_values")
+def _(b: Bridge) -> DataFrame:
+    """The side table of what typed columns could not hold, filled by two runs of one load."""
+    raw, root = b.spark.sql(S05_TEXT, lineitem=b.source("lineitem")), _new_folder(b, "rejected")
+    columns = ["contract_start_date", "insurance_days_count", "insurance_premium_policy", "region"]
+    rows = landing.clean_typed_rows(raw, columns, keep=("row_key",))
+    for _ in range(2):
+        seen = sinks.write_snapshot(rows, f"{root}/table", rejected=rejected.rejected_count())
+        stored = sinks.read_snapshot_table(b.spark, f"{root}/table", rows.schema)
+        rejected.keep_rejected(stored, f"{root}/side", "lineitem", ["row_key"], seen["rejected"])
+    return rejected.read_rejected(b.spark, f"{root}/side")
+
+
+COPIED = {
+    "orders": [
+        ("O_ORDERKEY", "NUMBER", 18, 0, "N"),
+        ("O_ORDERSTATUS", "CHAR", None, None, "Y"),
+        ("O_TOTALPRICE", "NUMBER", 7, 2, "Y"),
+        ("O_ORDERDATE", "DATE", None, None, "N"),
+    ],
+    "customer": [("C_NAME", "VARCHAR2", None, None, "N"), ("C_CUSTKEY", "NUMBER", 9, 0, "N")],
+}
+
+
+@query("s15_catalog_copy")
+def _(b: Bridge) -> DataFrame:
+    """Two tables copied by their catalog, and again after one hour and after two days."""
+    root, start = _new_folder(b, "copies"), dt.datetime(2000, 12, 31, 8)
+    runs = [
+        jobs.copy_tables(b.spark, COPIED, b.source, root, start + dt.timedelta(hours=h)).withColumn("hour", F.lit(h))
+        for h in (0, 1, 49)
+    ]
+    return reduce(DataFrame.unionByName, runs)
+
+
 @query("s22_stored_model")
 def _(b: Bridge) -> DataFrame:
     """A mart read back from storage, computed from a stored curated table."""

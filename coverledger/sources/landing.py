@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from coverledger import catalog
 from coverledger.functions.cleaning import clean_date, strip_to_null
 from coverledger.functions.money import READ
+from coverledger.sources.rejected import REJECTED, with_rejected
 
 
 def landing_schema(width: int) -> T.StructType:
@@ -23,7 +24,7 @@ def landing_schema(width: int) -> T.StructType:
     return T.StructType(fields + [T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
 
 
-def read_landing(spark: SparkSession, path: str, width: int) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | list[str], width: int) -> DataFrame:
     """Headerless CSV landing files with the source file name beside every row."""
     rows = spark.read.schema(landing_schema(width)).option("mode", "PERMISSIVE").option("multiLine", False).csv(path)
     return rows.select("*", F.col("_metadata.file_name").alias("source_file"))
@@ -105,6 +106,15 @@ def clean_typed_table(df: DataFrame, columns: list[str], keep: tuple[str, ...] =
     return stripped.select(*keep, *[clean_typed(F.col(c), c).alias(c) for c in columns])
 
 
+def clean_typed_rows(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """``clean_typed_table`` with the row's rejected values beside it."""
+    text = {c: f"_text_{c}" for c in columns if column_class(c) != "string"}
+    stripped = df.select(*keep, *[strip_to_null(F.col(c)).alias(text.get(c, c)) for c in columns])
+    typed = stripped.select("*", *[clean_typed(F.col(t), c).alias(c) for c, t in text.items()])
+    rows = with_rejected(typed, {c: F.col(t) for c, t in text.items()}, {c: column_class(c) for c in text})
+    return rows.select(*keep, *columns, REJECTED)
+
+
 def clean_text_table(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Everything to text: moments as ISO text, the rest trimmed, empty as null."""
     out = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -40,19 +40,22 @@ def write_slices(df: DataFrame, path: str, by: str) -> None:
     one task. The new files take the place of the old ones when the job commits, so a
     failed run leaves the stored slices as they were.
     """
-    _replace(df.hint("rebalance", F.col(by)), path, by)
+    replace_partitions(df.hint("rebalance", F.col(by)), path, by)
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
+def write_snapshot(df: DataFrame, path: str, **metrics: Column) -> dict[str, int]:
     """Replace a whole table at commit, as one slice; a failed run leaves the old rows.
 
-    The rows are computed once and counted as they are written. An empty table has no slice to put in place of the old one, so it clears the folder.
+    The rows are computed once and counted as they are written, as are further metrics; returns
+    the counts, the rows' under ``n``. An empty table has no slice to put in place of the old one,
+    so it clears the folder.
     """
     rows, seen = df.withColumn("snapshot", F.lit("current")), Observation()
-    _replace(rows.observe(seen, F.count(F.lit(1)).alias("n")), path, "snapshot")
+    replace_partitions(rows.observe(seen, F.count(F.lit(1)).alias("n"), *(m.alias(k) for k, m in metrics.items())), path, "snapshot")
     if not seen.get["n"]:
         none = df.sparkSession.createDataFrame([], rows.schema)
         none.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("snapshot").parquet(path)
+    return seen.get
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
@@ -62,6 +65,12 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
+def drop_slice(spark: SparkSession, path: str) -> None:
+    """Remove one slice of a table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the tables stored under a folder."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -70,8 +79,9 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
-def _replace(df: DataFrame, path: str, by: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
+    """Put the rows in place of the partitions that they have, when the job commits."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def read_snapshot_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -7,6 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from coverledger.functions.cleaning import strip_to_null
+from coverledger.sources.rejected import REJECTED, with_rejected
+
 TEXT_TYPES = ("VARCHAR2", "CHAR", "NVARCHAR2", "CLOB")
 MOMENT_TYPES = ("DATE", "TIMESTAMP")
 STAMPS = T.StructType(
@@ -45,6 +48,90 @@ def typed_snapshot(landed: DataFrame, columns: list[tuple[str, str, int | None,
     return landed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def typed_rows(landed: DataFrame, columns: list[tuple[str, str, int | None, int | None, str]]) -> DataFrame:
+    """``typed_snapshot`` with the row's rejected values beside it: a value that its catalog type
+    cannot hold is null there, and neither lost nor the end of the run."""
+    have, schema = {c.lower(): c for c in landed.columns}, catalog_schema(columns)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    missing = [c for c in kinds if c not in have]
+    if missing:
+        raise ValueError(f"columns of the catalog that the source lacks: {missing}")
+    raw = landed.select(*[F.col(f"`{have[c]}`").alias(f"_raw_{c}") for c in kinds])
+    typed = raw.select("*", *[F.col(f"_raw_{c}").try_cast(t).alias(c) for c, t in kinds.items()])
+    texts = {c: strip_to_null(F.col(f"_raw_{c}")) for c, t in kinds.items() if not isinstance(t, T.StringType)}
+    rows = with_rejected(typed, texts, {c: kinds[c].simpleString() for c in texts})
+    return rows.select(*kinds, REJECTED)
+
+
+def read_catalog(rows: DataFrame) -> dict[str, list[tuple[str, str, int | None, int | None, str]]]:
+    """Columns per table from rows (table_name, column_name, data_type, precision, scale, nullable,
+    position). The driver holds a row for each column of the source's tables, and nothing else."""
+    out: dict[str, list] = {}
+    for r in rows.orderBy("table_name", "position").collect():
+        out.setdefault(r.table_name, []).append((r.column_name, r.data_type, r.precision, r.scale, r.nullable))
+    return out
+
+
+def split_column(columns: list[tuple[str, str, int | None, int | None, str]]) -> str | None:
+    """The column by which a read is split: the first whole number that is never null, else the
+    first such moment."""
+    sure = [(n.lower(), catalog_type(t, p, s)) for n, t, p, s, null in columns if null != "Y"]
+    whole = [n for n, t in sure if isinstance(t, (T.IntegerType, T.LongType)) or getattr(t, "scale", None) == 0]
+    moments = [n for n, t in sure if isinstance(t, T.TimestampNTZType)]
+    return next(iter([*whole, *moments]), None)
+
+
+FACTS = "table_name string, has_modified boolean, modified timestamp_ntz, lower string, upper string"
+
+
+def source_facts(tables: dict[str, tuple[DataFrame, str | None, str | None]]) -> DataFrame:
+    """Per table its newest change and the bounds of its split column, all from one pass over each
+    table and one job over all. ``tables``: rows, split column, change column."""
+
+    def bound(pick, column: str | None):
+        return (pick(F.col(column)) if column else F.lit(None)).cast("string")
+
+    parts = [
+        df.agg(
+            (F.max(F.col(changed)) if changed else F.lit(None)).cast("timestamp_ntz").alias("modified"),
+            bound(F.min, split).alias("lower"),
+            bound(F.max, split).alias("upper"),
+        ).select(F.lit(name).alias("table_name"), F.lit(changed is not None).alias("has_modified"), "modified", "lower", "upper")
+        for name, (df, split, changed) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def facts_query(table: str, split: str | None, changed: str | None) -> str:
+    """The same facts as a subquery that a database answers with one row."""
+    bounds = (f"min({split})", f"max({split})") if split else ("NULL", "NULL")
+    newest = f"max({changed})" if changed else "NULL"
+    return f"(SELECT {newest} AS modified, {bounds[0]} AS lower_bound, {bounds[1]} AS upper_bound FROM {table}) facts"
+
+
+def jdbc_options(
+    url: str,
+    table: str,
+    split: str | None = None,
+    bounds: tuple[object, object] | None = None,
+    partitions: int = 64,
+    fetch_size: int = 10000,
+    one_task: bool = False,
+    **options: str,
+) -> dict[str, str]:
+    """Options of a database read split by a column, so that no table passes through one task.
+
+    A table without rows or without such a column is read whole only if ``one_task`` says so.
+    """
+    out = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **options}
+    if split is None or bounds is None or None in bounds:
+        if not one_task:
+            raise ValueError(f"{table}: give a partition column and its bounds, or one_task=True")
+        return out
+    lower, upper = map(str, bounds)
+    return out | {"partitionColumn": split, "lowerBound": lower, "upperBound": upper, "numPartitions": str(partitions)}
+
+
 def read_snapshot(
     spark: SparkSession,
     url: str,
@@ -60,18 +147,8 @@ def read_snapshot(
 
     A small table without such a column is read whole if ``one_task`` says so.
     """
-    split = partition_column is not None and bounds is not None
-    if not split and not one_task:
-        raise ValueError(f"{table}: give a partition column and its bounds, or one_task=True")
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=str(fetch_size), **options)
-    if split:
-        reader = reader.options(
-            partitionColumn=partition_column,
-            lowerBound=str(bounds[0]),
-            upperBound=str(bounds[1]),
-            numPartitions=str(partitions),
-        )
-    return reader.load()
+    asked = jdbc_options(url, table, partition_column, bounds, partitions, fetch_size, one_task, **options)
+    return spark.read.format("jdbc").options(**asked).load()
 
 
 def modified_column(columns: list[str]) -> str | None:

@@ -618,6 +618,24 @@ _QUERIES["s22_stored_model"] = finish(
     count(*) AS n FROM q_terminated GROUP BY 1""",
     "terminated_amount",
 )
+_QUERIES["s08_quarantine"] = """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'not a row' ELSE 'loaded' END AS kind,
+        CASE WHEN o_orderpriority = '5-LOW' THEN 'n' ELSE '' END || o_orderkey AS value FROM orders
+    UNION ALL SELECT 'left', 'notes_'"""
+_QUERIES["s20_observed_load"] = _QUERIES["s20_load_summary"]
+_QUERIES["s05_rejected_values"] = """SELECT 'lineitem' AS table_name, '{"row_key":' || l_orderkey || '}' AS row_key, v.* FROM (
+    SELECT l_orderkey, unnest([
+        {column_name: 'contract_start_date', text: CASE l_linenumber % 3 WHEN 1 THEN '02.01.2025' WHEN 2 THEN '2025' END, reason: 'not a date'},
+        {column_name: 'insurance_days_count', text: CASE WHEN l_linenumber % 4 = 2 THEN 'x1' END, reason: 'does not fit int'},
+        {column_name: 'insurance_premium_policy', text: CASE l_linenumber % 4 WHEN 1 THEN '1 234,56' WHEN 2 THEN l_partkey || ' UZS' END,
+         reason: 'does not fit decimal(30,6)'}]) AS v FROM lineitem) x WHERE v.text IS NOT NULL"""
+_QUERIES["s15_catalog_copy"] = """WITH facts AS (
+    SELECT 'orders' AS table_name, count(*) AS rows_copied,
+        count(*) FILTER (WHERE round(CAST(o_totalprice AS DECIMAL(22,4)), 2) > 99999.99) AS rejected_values,
+        'o_orderkey' AS split_column, CAST(min(o_orderkey) AS VARCHAR) AS lower, CAST(max(o_orderkey) AS VARCHAR) AS upper FROM orders
+    UNION ALL SELECT 'customer', count(*), 0, 'c_custkey', CAST(min(c_custkey) AS VARCHAR), CAST(max(c_custkey) AS VARCHAR) FROM customer)
+SELECT table_name, CASE hour WHEN 0 THEN 'CREATED' WHEN 1 THEN 'SKIPPED' ELSE 'RELOADED' END AS decision,
+    CASE WHEN hour <> 1 THEN rows_copied END AS rows_copied, CASE WHEN hour <> 1 THEN rejected_values END AS rejected_values,
+    split_column, lower, upper, hour FROM facts, (VALUES (0), (1), (49)) h(hour)"""
 _QUERIES["s22_staged_premium"] = finish(
     """SELECT CAST(date_trunc('month', payment_date) AS DATE) AS report_month, sum(premium_amount) AS premium_amount,
     sum(liability_amount) AS liability_amount FROM q_premium GROUP BY 1""",
