@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverledger.llm.common import cut, groups
+from coverledger.llm.common import cut, groups, tidy
 from coverledger.llm.packing import _byte_ranks
 
 #: Bytes of texts that are aligned together and share one list of id pairs.
@@ -267,7 +267,7 @@ def _aligned(texts: DataFrame, a_file: str, b_file: str) -> DataFrame:
                     links=pa.array([found["links"]], pa.binary()),
                 )
 
-    return texts.select("key", "text", "times").mapInArrow(work, _STORED)
+    return texts.select("key", "text", "times").mapInArrow(tidy(work), _STORED)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverledger.llm.common import groups
+from coverledger.llm.common import groups, scanned
 
 #: Code points that are scanned at once, in one or many texts.
 WINDOW = 1 << 19
@@ -497,7 +497,7 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(work, f"id {kind}, ids array<int>, offsets array<int>")
+    out = scanned(rows, work, f"id {kind}, ids array<int>, offsets array<int>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -524,5 +524,5 @@ def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id") -> DataFrame:
 
     rows = encoded.select(F.col(id_col).alias("id"), "ids", "offsets")
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(work, f"id {kind}, ids array<int>, decoded binary")
+    out = scanned(rows, work, f"id {kind}, ids array<int>, decoded binary")
     return out.withColumnRenamed("id", id_col)

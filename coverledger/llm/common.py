@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +70,32 @@ def groups(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         held += size
     if a < len(sizes):
         yield a, len(sizes)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same work; at the end of a task the worker, which lives on, gives its memory back."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
+#: Rows of an Arrow batch where the session has Spark's default; a batch of texts is held several
+#: times, by the JVM and its worker.
+BATCH, DEFAULT_BATCH = "2000", "10000"
+
+
+def scanned(rows: DataFrame, work: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """``mapInArrow`` over texts in batches of fewer rows; see ``tidy``."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == DEFAULT_BATCH:
+        conf.set(name, BATCH)
+    return rows.mapInArrow(tidy(work), schema)

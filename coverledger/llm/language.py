@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coverledger.llm.common import cut
+from coverledger.llm.common import cut, scanned
 
 #: Learned documents of a language on average, as a bound on the sample.
 SAMPLE = 4000
@@ -172,7 +172,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             ["lang", "cell", "n"],
         )
 
-    counted = sample.select(lang_col, text_col).mapInArrow(count, "lang string, cell int, n long")
+    counted = scanned(sample.select(lang_col, text_col), count, "lang string, cell int, n long")
     table = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), CELLS + len(SCRIPTS)))
     counts[table["lang"].map({k: i for i, k in enumerate(languages)}), table["cell"]] = table["n"]
@@ -273,7 +273,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", switch: floa
                 [*names, "lang_pred", "score", "lang_spans"],
             )
 
-    labelled = plain.mapInArrow(scan, f"{kinds}, lang_pred string, score double, lang_spans {SPANS}")
+    labelled = scanned(plain, scan, f"{kinds}, lang_pred string, score double, lang_spans {SPANS}")
     return labelled.toDF(*docs.columns, "lang_pred", "score", "lang_spans")
 
 

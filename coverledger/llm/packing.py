@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverledger.llm import bpe
-from coverledger.llm.common import cut, groups
+from coverledger.llm.common import cut, groups, scanned
 
 #: Tokens of a sequence, and the id that ends a document.
 LENGTH, END = 1024, 2
@@ -28,6 +28,7 @@ ROUNDINGS = ((1.0, 0.5), (1.0, 1.0), (0.9, 1.0), (0.7, 1.0), (0.5, 1.0))
 #: All that for fits in which a length's error weighs by these powers of the length.
 POWERS = (2, 1)
 
+
 def _byte_ranks(path: str) -> dict[bytes, int]:
     """The vocabulary of a byte-level tokenizer file as byte strings with their ids.
 
@@ -133,7 +134,7 @@ def tokenized(
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long"
-    return rows.mapInArrow(scan, schema + (", ids binary" if keep_ids else ""))
+    return scanned(rows, scan, schema + (", ids binary" if keep_ids else ""))
 
 
 def patterns(length: int, present: np.ndarray, depth: int = DEPTH) -> np.ndarray:

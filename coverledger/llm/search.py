@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverledger.llm.common import cut, groups
+from coverledger.llm.common import cut, groups, scanned
 
 #: Letters and digits of ASCII and everything beyond it; only A-Z is lower-cased.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -128,7 +128,7 @@ def counted(docs: DataFrame, automaton, id_col: str, text_col: str) -> DataFrame
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"id {kind}, n long, terms array<int>, tfs array<long>")
+    return scanned(rows, work, f"id {kind}, n long, terms array<int>, tfs array<long>")
 
 
 def weights(df: np.ndarray, documents: int) -> np.ndarray:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coverledger.llm.common import cut, id_hash, keep_rows
+from coverledger.llm.common import cut, id_hash, keep_rows, scanned
 from coverledger.llm.components import connected_components
 
 #: Fingerprints link when they differ in so many bits at most.
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"id {kind}, text_key long, fp long")
+    return scanned(rows, scan, f"id {kind}, text_key long, fp long")
 
 
 def _two_bytes(fp: Column, block: int) -> Column:
