@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 # Element names of HTML, and usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object textarea title svg math".split())
+RAW = frozenset("script style noscript template iframe object textarea title svg annotation".split())
 FURNITURE = frozenset(
     "head nav footer aside form menu dialog button select option input label fieldset canvas "
     "audio video applet map search".split()
@@ -36,10 +36,25 @@ NAMES = frozenset(
     "recommended comment comments respond disqus replies reply discussion pagination pager "
     "toolbar skip".split()
 )
+REMARKS = frozenset("comment comments respond disqus replies reply discussion".split())
+# Words that say nothing more beside a name of furniture: a comment list is comments.
+NEUTRAL = frozenset(
+    "list lists item items box boxes block section area container wrapper wrap inner outer bar "
+    "panel link links icon icons button buttons group top bottom left right site global sticky "
+    "fixed thread threads count stories posts articles recent latest popular more".split()
+)
+# Names that a section of an article can have as a slug of its heading.
+TOPICS = frozenset(
+    "discussion notice notices alert related share reply replies header banner menu aside rail "
+    "recommended overlay skip footer navigation promotion advertising topbar".split()
+)
 KEPT = frozenset("html body article main".split())
 ARTICLE = frozenset("article main".split())
 # Headings and paragraphs often have slugs as ids; in an article, sections as well.
 SLUGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup p".split())
+#: An element with a name of furniture is furniture unless it holds so large a share of the page's
+#: text, less than half of it in links; reader comments, unless there is hardly any other text.
+HOLDS_PAGE, HOLDS_ALL = 0.6, 0.98
 # A start tag ends these open elements, up to the nearest of the elements that bound them.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -75,19 +90,16 @@ class Node:
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.inside = tag in ARTICLE or parent is not None and parent.inside
-        self.named = False  # whether a word of its class or id is in NAMES
+        self.named = 0  # by class or id: 1 a word of furniture, 2 furniture, 3 reader comments
         self.parts: list[Node | str] = []
         self.chars = self.link = self.tags = self.links = 0
         self.density = self.total = 0.0
 
 
 def _is_furniture(node: Node, attributes: str) -> bool:
-    """Whether an element is page furniture by its tag or attributes.
+    """Whether an element is page furniture by its tag, its role, or because it is not shown.
 
-    Outside article and main, one word of a class or id is enough (``cookie-notice``), but for
-    headings and paragraphs a whole name has to be in NAMES. Inside, headings, sections and
-    paragraphs are not judged by name, and other elements by whole names; where a word only is
-    in NAMES, the node is ``named`` and its links decide later.
+    Names in a class or id only set ``named``; ``prune`` decides about them when all is measured.
     """
     tag, within = node.tag, node.parent.inside
     if tag in FURNITURE:
@@ -104,18 +116,33 @@ def _is_furniture(node: Node, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and not (within and (tag in SLUGS or tag == "section")):
-            if not NAMES.isdisjoint(value.lower().split()):
-                return True
-            if not NAMES.isdisjoint(w.lower() for w in _NAME.findall(value)):
-                if not within and tag not in SLUGS:
-                    return True
-                node.named = True
+        if name in ("class", "id"):
+            node.named = max([node.named, *(_kind_of(n, node) for n in value.split())])
     return False
 
 
+def _kind_of(name: str, node: Node) -> int:
+    """What one name of a class or id says: 0 nothing, 1 that a word of it is one of furniture,
+    2 that all of it is, 3 that it is reader comments.
+
+    Paragraphs and headings, and sections of an article, have slugs of topics as names; for them
+    it takes a whole name that is no topic.
+    """
+    words = [w.lower() for w in _NAME.findall(name)]
+    if NAMES.isdisjoint(words):
+        return 0
+    if not NAMES.union(NEUTRAL).issuperset(words):
+        return 1
+    one, topic = len(words) == 1, not TOPICS.isdisjoint(words)
+    if node.tag in SLUGS and (topic or not one):
+        return 1
+    if node.tag == "section" and node.parent.inside and topic and one:
+        return 1
+    return 3 if not REMARKS.isdisjoint(words) else 2
+
+
 def parse(html: str) -> Node:
-    """The tree of a page without page furniture, scripts, styles and comments.
+    """The tree of a page without scripts, styles, markup comments and furniture by tag or role.
 
     End tags that HTML lets out are supplied; an end tag without its start is skipped. Furniture
     is read over up to its end tag, or up to the end of the element around it.
@@ -228,11 +255,24 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
+def prune(root: Node) -> None:
+    """Take out elements that are furniture by name; a name is no proof where an element holds
+    most of the page's text."""
+    nodes = measure(root)
+    whole = max(root.chars, 1)
+    for node in nodes:
+        if node.named < 2:
+            continue
+        share, linked = node.chars / whole, node.link * 2 >= node.chars
+        if share < (HOLDS_ALL if node.named == 3 else HOLDS_PAGE) or linked:
+            node.parent.parts = [p for p in node.parent.parts if p is not node]
+
+
 def choose(root: Node) -> list[Node]:
     """The subtrees that hold the article.
 
-    The node with the largest density sum is taken, or the article or main element around it. The
-    least density on the way from it to the body is the threshold: elements of the same name
+    The node with the largest density sum is taken, or the nearest article or main element around
+    it. The least density on the way from it to the body is the threshold: elements of the same name
     beside it that reach it are parts of the article as well.
     """
     nodes = measure(root)
@@ -244,7 +284,7 @@ def choose(root: Node) -> list[Node]:
         path.append(path[-1].parent)
     around = [n for n in path if n.tag in ARTICLE]
     if around:
-        top = around[-1]
+        top = around[0]
         path = path[path.index(top) :]
     threshold = min((n.density for n in path[:-1]), default=0.0)
     parent = top.parent
@@ -300,6 +340,7 @@ def blocks(root: Node) -> list[str]:
 
 def main_text(html: str) -> str:
     root = parse(html)
+    prune(root)
     return "\n".join(b for node in choose(root) for b in blocks(node))
 
 
