@@ -256,18 +256,29 @@ def measure(root: Node) -> list[Node]:
 
 
 def prune(root: Node) -> None:
-    """Take out elements that are furniture by name; a name is no proof where an element holds
-    most of the page's text."""
+    """Take out elements that are furniture by name.
+
+    A name is no proof where an element holds most of the page's text, few links, and an article
+    or main element, if the page has one with text at all.
+    """
     nodes = measure(root)
     whole = max(root.chars, 1)
+    articles = [n for n in nodes if n.tag in ARTICLE and n.chars]
     for node in nodes:
         if node.named < 2:
             continue
-        share, linked = node.chars / whole, node.link * 2 >= node.chars
-        if share < (HOLDS_ALL if node.named == 3 else HOLDS_PAGE) or linked:
+        share = node.chars / whole
+        most = share >= (HOLDS_ALL if node.named == 3 else HOLDS_PAGE) and node.link * 2 < node.chars
+        if not most or articles and not any(_within(n, node) for n in articles):
             node.parent.parts = [p for p in node.parent.parts if p is not node]
 
 
+def _within(node: Node | None, around: Node) -> bool:
+    while node is not None and node is not around:
+        node = node.parent
+    return node is around
+
+
 def choose(root: Node) -> list[Node]:
     """The subtrees that hold the article.
 

@@ -81,6 +81,11 @@ def test_an_article_is_not_lost_by_a_name(name):
     assert found.startswith("\n".join([TEXT] * 6))
 
 
+def test_an_advert_longer_than_the_article_goes():
+    advert = f"<div class='ad'>{TEXT} {TEXT} {TEXT}</div>"
+    assert html.main_text(f"<body>{advert}<article><h1>Title</h1><p>Short.</p></article></body>") == "Title\nShort."
+
+
 def test_comments_longer_than_the_article_go():
     remarks = f"<div><p>{TEXT}</p></div>" * 20
     found = html.main_text(f"<body><div class='story'><p>{TEXT}</p><p>{TEXT}</p></div><div id='comments'>{remarks}</div></body>")
