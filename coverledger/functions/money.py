@@ -37,8 +37,8 @@ def rate_or_one(rate: Column) -> Column:
 
 
 def percent_of(amount: Column, percent: Column) -> Column:
-    """amount x percent / 100, exact."""
-    share = F.coalesce(percent.cast("decimal(10,4)"), F.lit(0).cast("decimal(10,4)")) * F.lit("0.01").cast("decimal(2,2)")
+    """amount x percent / 100, rounded once; a percentage has as many decimals as a rate."""
+    share = F.coalesce(percent.cast(RATE), F.lit(0).cast(RATE)) * F.lit("0.01").cast("decimal(2,2)")
     return (amount_or_zero(amount) * share).cast(CONVERTED)
 
 
