@@ -240,6 +240,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(text_col).alias("key"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(id_col).cast("long").alias("id"),
     )
 
 
@@ -348,7 +349,7 @@ def remove_repeats(
 
     A window is ``window`` consecutive words of one document. Earlier is a smaller id, or the same
     id and an earlier start; windows are judged on the input. Ids are whole numbers; rows without
-    one come last and are equals, and rows with the same id and start are equals too: none of
+    one come last, beside the largest number there is, and are equals, and rows with the same id and start are equals too: none of
     them is earlier than the other. Returns one row per input row: the id column, ``n_words``,
     ``n_removed`` and ``kept_text`` (the kept words joined by one space). A null text has no
     words. Repeated rows and empty tables are no special case.
@@ -360,7 +361,7 @@ def remove_repeats(
     """
     keyed = _keyed(docs, id_col, text_col)
     found = cut(
-        repeated_windows(keyed, window)
+        repeated_windows(keyed.drop("id"), window)
         .groupBy("doc", "key")
         .agg(F.collect_list(F.struct("start", "n")).alias("ranges")),
         "repeats",
@@ -392,10 +393,6 @@ def remove_repeats(
                 ["id", "n_words", "n_removed", "kept_text"],
             )
 
-    marked = (
-        keyed.withColumn("id", F.when(F.col("doc") != NO_ID, F.col("doc")))
-        .join(found, ["doc", "key"], "left")
-        .select("id", "text", "ranges")
-    )
+    marked = keyed.join(found, ["doc", "key"], "left").select("id", "text", "ranges")
     out = marked.mapInArrow(keep, "id long, n_words long, n_removed long, kept_text string")
     return out.withColumnRenamed("id", id_col)

@@ -162,3 +162,10 @@ def test_substrings(spark, monkeypatch, hot_share):
 
 def test_substrings_of_empty_tables(spark):
     assert substrings.remove_repeats(empty_docs(spark)).count() == 0
+
+
+def test_substrings_keep_the_largest_id(spark):
+    words = " ".join(f"w{k}" for k in range(25))
+    rows = [((1 << 63) - 1, words), (None, words), (3, words)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in got} == {((1 << 63) - 1, 25), (None, 25), (3, 0)}
