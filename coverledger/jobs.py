@@ -4,6 +4,7 @@
     python -m coverledger.jobs snapshots --source ROOT --catalog COLUMNS --target COPIES [--now TIME]
     python -m coverledger.jobs stage --raw RAW --out STAGED [--buckets N]
     python -m coverledger.jobs reinsurance --path FILES --table TABLE --side outgoing
+    python -m coverledger.jobs claims --path FILES --table TABLE [--append]
     python -m coverledger.jobs claims-2025 --path FILES --table TABLE [--append] [--dry-run]
     python -m coverledger.jobs drop-folder --path FOLDER --table TABLE [--archive FOLDER]
     python -m coverledger.jobs reports --path FILES --table TABLE
@@ -114,6 +115,19 @@ def load_claims_2025(spark: SparkSession, path: str, table: str, append: bool =
     return observed_profile(spark, counted.get, mapped)
 
 
+def load_claims_files(spark: SparkSession, path: str, table: str, append: bool = False) -> DataFrame:
+    """Claims files with headers of their own into one table that gains columns as they come.
+
+    Returns the rows stored per file, as the write observed them.
+    """
+    frames = landing.headed_frames(spark, path)
+    counted = [Observation() for _ in frames]
+    rows = [f.observe(o, F.count(F.lit(1)).alias("n"), F.first("source_file").alias("file")) for f, o in zip(frames, counted)]
+    sinks.write_batch(rows, table, append)
+    seen = [o.get for o in counted]
+    return spark.createDataFrame([(s["file"], s["n"]) for s in seen if s["n"]], "source_file string, rows_stored long")
+
+
 def load_reports(spark: SparkSession, path: str, table: str, state: str) -> None:
     """Landed JSON reports into a table with one report per date, the last one landed."""
     incoming = spark.readStream.schema(REPORT_SCHEMA).json(path)
@@ -227,14 +241,15 @@ def main(argv: list[str] | None = None) -> None:
     copies.add_argument("--catalog", required=True, help="Parquet rows of the tables' columns")
     copies.add_argument("--target", required=True)
     copies.add_argument("--now", type=dt.datetime.fromisoformat)
-    for name in ("reinsurance", "claims-2025", "drop-folder", "reports"):
+    for name in ("reinsurance", "claims", "claims-2025", "drop-folder", "reports"):
         job = jobs.add_parser(name)
         job.add_argument("--path", required=True)
         job.add_argument("--table", required=True)
         if name == "reinsurance":
             job.add_argument("--side", choices=["outgoing", "incoming"], required=True)
-        if name == "claims-2025":
+        if name in ("claims", "claims-2025"):
             job.add_argument("--append", action="store_true")
+        if name == "claims-2025":
             job.add_argument("--dry-run", action="store_true")
         if name == "drop-folder":
             job.add_argument("--archive")
@@ -258,6 +273,8 @@ def main(argv: list[str] | None = None) -> None:
         layout.stage(raw_folder(spark, args.raw), tables, spark, args.out.rstrip("/"), args.buckets)
     elif args.job == "reinsurance":
         load_reinsurance(spark, args.path, args.table, args.side).show(truncate=False)
+    elif args.job == "claims":
+        load_claims_files(spark, args.path, args.table, args.append).show(1000, truncate=False)
     elif args.job == "claims-2025":
         load_claims_2025(spark, args.path, args.table, args.append, args.dry_run).show(50, truncate=False)
     else:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -170,18 +171,34 @@ def harmonised_names(headers: list[str], words: dict[str, list[str]] | None = No
     the given order. Any other keeps its own parts, up to 30 characters. Repeats are numbered.
     """
     layout = catalog.CLAIMS_HEADER_WORDS if words is None else words
-    index = [("".join(HEADER_PART.findall(w.lower())), column) for column, ws in layout.items() for w in ws]
+    index = [("".join(HEADER_PART.findall(w.lower())), w.lower(), column) for column, ws in layout.items() for w in ws]
     named: list[str] = []
     claimed: set[str] = set()
     for header in headers:
         parts = HEADER_PART.findall(header.lower())
         whole = "".join(parts)
-        column = next((c for w, c in index if w in whole and c not in claimed), None)
+        held = (c for w, sign, c in index if (w in whole if w else sign in header.lower()))  # signs as they are
+        column = next((c for c in held if c not in claimed), None)
         claimed.add(column or "")
         named.append(column or "_".join(parts)[:30] or "col_unnamed")
     return _numbered(named)
 
 
+def headed_frames(spark: SparkSession, path: str, words: dict[str, list[str]] | None = None) -> list[DataFrame]:
+    """One frame a file of CSV files with headers, under harmonised names, with file and load time.
+
+    Only the header line of a file is read here, to learn its columns.
+    """
+    frames = []
+    for file in sorted(spark.read.text(path).inputFiles()):
+        escaped = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+        rows = spark.read.option("header", True).csv(escaped)
+        names = harmonised_names(rows.columns, words)
+        lined = with_lineage(rows).toDF(*names, "source_file", "loaded_at")
+        frames.append(lined.select(*[strip_to_null(F.col(c)).alias(c) for c in lined.columns]))
+    return frames
+
+
 def harmonised_union(frames: list[DataFrame], words: dict[str, list[str]] | None = None) -> DataFrame:
     """Frames with differing headers under one set of column names, all as text."""
     renamed = []

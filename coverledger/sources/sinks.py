@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -17,14 +19,65 @@ def append_columns(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return as_text(stored).unionByName(as_text(incoming), allowMissingColumns=True)
 
 
+COLUMNS = "_columns-"
+
+
+def stored_columns(spark: SparkSession, path: str) -> list[str] | None:
+    """The columns of an evolving table, in the order in which they came; None if none are kept."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
+    newest = max((n for n in names if n.startswith(COLUMNS)), default=None)
+    if newest is None:
+        return None
+    stream = store.open(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{newest}"))
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def keep_columns(spark: SparkSession, path: str, columns: list[str]) -> None:
+    """Store a longer column list beside the table; the longest has the greatest name."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    store = path_of(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    unseen, final = path_of(f"{path}/_{uuid.uuid4().hex}"), path_of(f"{path}/{COLUMNS}{len(columns):06d}")
+    out = store.create(unseen)
+    out.write(bytearray(json.dumps(columns).encode()))
+    out.close()
+    store.rename(unseen, final)
+
+
 def write_landing(df: DataFrame, path: str, append: bool) -> None:
-    """Replace the table, or append to it. New columns need no rewrite of older files."""
-    as_text(df).write.mode("append" if append else "overwrite").parquet(path)
+    """Replace the table, or append to it. New columns need no rewrite of older files.
+
+    The list of all columns is kept beside the table. Before an append it gets the new ones, so
+    that no reader finds files with columns that the list lacks; a load that then fails leaves
+    columns that are null so far.
+    """
+    spark, text = df.sparkSession, as_text(df)
+    before = stored_columns(spark, path) if append else None
+    if append and before is None and has_files(spark, path):
+        before = spark.read.option("mergeSchema", "true").parquet(path).columns  # a table from before lists
+        keep_columns(spark, path, before)
+    known = before or []
+    columns = known + [c for c in text.columns if c not in known]
+    if append and columns != known:
+        keep_columns(spark, path, columns)
+    text.write.mode("append" if append else "overwrite").parquet(path)
+    if not append:
+        keep_columns(spark, path, columns)
 
 
 def read_landing_table(spark: SparkSession, path: str) -> DataFrame:
-    """Union of all columns ever appended; older files show nulls for newer columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """All columns ever appended; older files show nulls for newer columns.
+
+    The stored column list is the schema, so no file's footer is read for it.
+    """
+    columns = stored_columns(spark, path)
+    if columns is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).parquet(path)
 
 
 def write_batch(frames: list[DataFrame], path: str, append: bool = False) -> None:

@@ -206,3 +206,46 @@ def test_routed_names_match_like_routes(spark):
     routed = {r.n for r in rows.filter(landing.route_of(F.col("n")).isNotNull()).collect()}
     glob = spark._jvm.org.apache.hadoop.fs.GlobPattern(loads.routed_names())
     assert {n for n in names if glob.matches(n)} == routed == set(names) - {"note.csv"}
+
+
+# ---- evolving tables -------------------------------------------------------------
+
+
+def test_three_loads_with_growing_columns(spark, tmp_path):
+    table = str(tmp_path / "table")
+    word = next(iter(catalog.CLAIMS_HEADER_WORDS.values()))[0]
+    column = next(iter(catalog.CLAIMS_HEADER_WORDS))
+
+    def load(name, *rows, append=True):
+        write_csv(tmp_path / name / f"{name}.csv", rows)
+        return [tuple(r) for r in jobs.load_claims_files(spark, str(tmp_path / name), table, append).collect()]
+
+    assert load("one", (word, "Own Field"), (" 1 ", "a"), ("2", " "), append=False) == [("one.csv", 2)]
+    first = sinks.read_landing_table(spark, table)
+    assert first.columns == [column, "own_field", "source_file", "loaded_at"]
+    load("two", ("Other", word), ("x", "3"))
+    load("three", (word, "own field", "Late"), ("4", "b", "c"))
+    grown = sinks.read_landing_table(spark, table)
+    assert grown.columns == [column, "own_field", "source_file", "loaded_at", "other", "late"]
+    got = {(r[column], r.own_field, r.other, r.late, r.source_file) for r in grown.collect()}
+    assert got == {
+        ("1", "a", None, None, "one.csv"), ("2", None, None, None, "one.csv"),
+        ("3", None, "x", None, "two.csv"), ("4", "b", None, "c", "three.csv"),
+    }
+    lists = [p.name for p in (tmp_path / "table").iterdir() if p.name.startswith(sinks.COLUMNS)]
+    assert len(lists) == 3  # a late column is added once
+    load("two", ("Other", word), ("y", "5"))
+    assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith(sinks.COLUMNS)]) == 3
+    assert spark.read.option("mergeSchema", "true").parquet(table).count() == 5  # the list is no data
+    load("one", (word,), ("6",), append=False)
+    assert sinks.read_landing_table(spark, table).columns == [column, "source_file", "loaded_at"]
+
+
+def test_a_table_from_before_column_lists(spark, tmp_path):
+    table = str(tmp_path / "t")
+    spark.createDataFrame([("1",)], "a string").write.parquet(table)
+    assert sinks.stored_columns(spark, table) is None
+    assert sinks.read_landing_table(spark, table).columns == ["a"]
+    sinks.write_landing(spark.createDataFrame([("2", "3")], "b string, a string"), table, append=True)
+    assert sinks.stored_columns(spark, table) == ["a", "b"]
+    assert {tuple(r) for r in sinks.read_landing_table(spark, table).collect()} == {("1", None), ("3", "2")}
