@@ -24,17 +24,33 @@ SWITCH, CLIP = 6.0, 8.0
 SCRIPT_SHARE = 0.001
 UNDETERMINED = "und"
 
-#: First code points of script ranges. A letter's script is the last range that
-#: starts at or before it: Latin, Greek, Cyrillic, Armenian, Hebrew, Arabic, Indic, Thai and Lao,
-#: Tibetan, Burmese, Georgian, Hangul, Ethiopic, Khmer, extended Latin, kana, Han, Hangul
-#: syllables, everything else.
-SCRIPTS = np.array(
-    [0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0xF00, 0x1000, 0x10A0, 0x1100, 0x1200,
-     0x1780, 0x1E00, 0x3040, 0x3400, 0xAC00, 0xD7B0]
-)
-#: Ranges of one script share a number: extended Latin is Latin, Hangul syllables are Hangul.
-SCRIPT_OF_RANGE = np.arange(len(SCRIPTS))
-SCRIPT_OF_RANGE[14], SCRIPT_OF_RANGE[17] = 0, 11
+#: First code points of ranges of Unicode blocks, and the script their letters are of.
+RANGES = [
+    (0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"),
+    (0x0600, "Arabic"), (0x0700, "Syriac"), (0x0750, "Arabic"), (0x0780, "Thaana"), (0x07C0, "Nko"),
+    (0x0800, "Samaritan"), (0x0860, "Syriac"), (0x0870, "Arabic"), (0x0900, "Devanagari"),
+    (0x0980, "Bengali"), (0x0A00, "Gurmukhi"), (0x0A80, "Gujarati"), (0x0B00, "Oriya"), (0x0B80, "Tamil"),
+    (0x0C00, "Telugu"), (0x0C80, "Kannada"), (0x0D00, "Malayalam"), (0x0D80, "Sinhala"), (0x0E00, "Thai"),
+    (0x0E80, "Lao"), (0x0F00, "Tibetan"), (0x1000, "Myanmar"), (0x10A0, "Georgian"), (0x1100, "Hangul"),
+    (0x1200, "Ethiopic"), (0x13A0, "Cherokee"), (0x1400, "Syllabics"), (0x1680, "other"), (0x1780, "Khmer"),
+    (0x1800, "Mongolian"), (0x18B0, "Syllabics"), (0x1900, "other"), (0x19E0, "Khmer"), (0x1A00, "other"),
+    (0x1C80, "Cyrillic"), (0x1C90, "Georgian"), (0x1CC0, "other"), (0x1D00, "Latin"), (0x1F00, "Greek"),
+    (0x2000, "other"), (0x2071, "Latin"), (0x20A0, "other"), (0x2C00, "Glagolitic"), (0x2C60, "Latin"),
+    (0x2C80, "Coptic"), (0x2D00, "Georgian"), (0x2D30, "Tifinagh"), (0x2D80, "Ethiopic"),
+    (0x2DE0, "Cyrillic"), (0x2E00, "other"), (0x2E80, "Han"), (0x3040, "Kana"), (0x3100, "Bopomofo"),
+    (0x3130, "Hangul"), (0x3190, "Han"), (0x31A0, "Bopomofo"), (0x31C0, "Han"), (0x31F0, "Kana"),
+    (0x3200, "other"), (0x3400, "Han"), (0xA000, "Yi"), (0xA4D0, "other"), (0xA640, "Cyrillic"),
+    (0xA6A0, "other"), (0xA720, "Latin"), (0xA800, "other"), (0xA8E0, "Devanagari"), (0xA900, "other"),
+    (0xA960, "Hangul"), (0xA980, "other"), (0xA9E0, "Myanmar"), (0xAA00, "other"), (0xAA60, "Myanmar"),
+    (0xAA80, "other"), (0xAB00, "Ethiopic"), (0xAB30, "Latin"), (0xAB70, "Cherokee"), (0xABC0, "other"),
+    (0xAC00, "Hangul"), (0xD800, "other"), (0xF900, "Han"), (0xFB00, "Latin"), (0xFB13, "Armenian"),
+    (0xFB1D, "Hebrew"), (0xFB50, "Arabic"), (0xFE00, "other"), (0xFE70, "Arabic"), (0xFF00, "Latin"),
+    (0xFF66, "Kana"), (0xFFA0, "Hangul"), (0xFFE0, "other"), (0x1B000, "Kana"), (0x1B170, "other"),
+    (0x20000, "Han"), (0x323B0, "other"),
+]
+_NAMES = list(dict.fromkeys(name for _, name in RANGES))
+SCRIPTS = np.array([first for first, _ in RANGES])
+SCRIPT_OF_RANGE = np.array([_NAMES.index(name) for _, name in RANGES])
 
 
 def letters(word: str) -> str:
@@ -140,17 +156,18 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     """Fit the n-gram counts on a sample of about SAMPLE labelled documents of each language.
 
     The sample is chosen by a hash of the text, at a rate per language that makes its expected
-    size SAMPLE at most. A task returns one table of counts per language, so what reaches the
+    size SAMPLE at most; copies of a text count once, so a large group of them weighs no more. A task returns one table of counts per language, so what reaches the
     driver has the size of the model: languages x (cells + scripts).
     """
     known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()}  # fmt: skip  # noqa: E501
     languages = sorted(sizes)
     if not languages:
-        return Model([], np.zeros((0, CELLS)), np.zeros((0, len(SCRIPTS))))
+        return Model([], np.zeros((0, CELLS)), np.zeros((0, len(_NAMES))))
     rates = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, SAMPLE / n)))))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), text_col), 11) / float(1 << 53)
     sample = known.filter(draw < F.element_at(rates, F.col(lang_col)))
+    sample = sample.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
@@ -159,12 +176,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
                 words = [w for w in map(letters, text.split()) if w]
                 if words:
                     if lang not in tables:
-                        tables[lang] = np.zeros(CELLS + len(SCRIPTS), np.int64)
+                        tables[lang] = np.zeros(CELLS + len(_NAMES), np.int64)
                     number, cell, _ = features(words)
                     tables[lang][:CELLS] += np.bincount(cell, minlength=CELLS)
                     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
                     script = SCRIPT_OF_RANGE[np.searchsorted(SCRIPTS, points, side="right") - 1]
-                    tables[lang][CELLS:] += np.bincount(script, minlength=len(SCRIPTS))
+                    tables[lang][CELLS:] += np.bincount(script, minlength=len(_NAMES))
         rows = [(k, i, int(t[i])) for k, t in tables.items() for i in np.flatnonzero(t).tolist()]
         lang, cell, n = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -172,9 +189,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             ["lang", "cell", "n"],
         )
 
-    counted = scanned(sample.select(lang_col, text_col), count, "lang string, cell int, n long")
+    counted = scanned(sample, count, "lang string, cell int, n long")
     table = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((len(languages), CELLS + len(SCRIPTS)))
+    counts = np.zeros((len(languages), CELLS + len(_NAMES)))
     counts[table["lang"].map({k: i for i, k in enumerate(languages)}), table["cell"]] = table["n"]
     return Model(languages, counts[:, :CELLS], counts[:, CELLS:])
 

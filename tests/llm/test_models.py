@@ -134,7 +134,7 @@ def test_language_accuracy_and_spans(spark, sf_dir):
 
 def test_script_ranges_narrow_candidates():
     counts = np.ones((2, language.CELLS))
-    scripts = np.zeros((2, len(language.SCRIPTS)))
+    scripts = np.zeros((2, len(language._NAMES)))
     scripts[0, 0], scripts[1, 2] = 100, 100
     model = language.Model(["la", "cy"], counts, scripts)
     assert model.scores(["abc", "где", "", "中"]).argmax(axis=1).tolist() == [0, 1, 0, 0]
@@ -267,3 +267,30 @@ def test_every_pair_meets_in_the_grid():
                 for a, b in embeddings.linked_pairs(np.array(own), np.array(visiting, int), vectors_, block, 0.98):
                     found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
     assert found == Counter((int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near))))
+
+
+def test_scripts_are_those_of_the_letters_names():
+    import unicodedata
+
+    words = {
+        "Devanagari": "हिन्दी", "Tamil": "தமிழ்", "Bengali": "বাংলা", "Sinhala": "සිංහල", "Greek": "ἀρχῇ",
+        "Arabic": "ﻋﺮﺑﻲ", "Hebrew": "שﬡ", "Cyrillic": "Ꙗзыкъ", "Han": "語豈𠀀", "Kana": "カナｶﾅ", "Latin": "straßeẞꜳ",
+    }
+    for script, word in words.items():
+        points = np.array([ord(c) for c in word if c.isalpha()])
+        found = language.SCRIPT_OF_RANGE[np.searchsorted(language.SCRIPTS, points, side="right") - 1]
+        assert {language._NAMES[k] for k in found} == {script}
+    assert list(language.SCRIPTS) == sorted(language.SCRIPTS) and len(language._NAMES) < 63
+    for c in range(0x10000):
+        name = unicodedata.name(chr(c), "")
+        for script in ("TAMIL", "BENGALI", "DEVANAGARI", "CYRILLIC", "ARABIC", "GEORGIAN", "ETHIOPIC"):
+            if chr(c).isalpha() and name.startswith(f"{script} ") and not 0x1D00 <= c < 0x1DC0:
+                at = np.searchsorted(language.SCRIPTS, c, side="right") - 1
+                assert language._NAMES[language.SCRIPT_OF_RANGE[at]].upper() == script, hex(c)
+
+
+def test_copies_weigh_no_more_than_one_text(spark):
+    rows = [("der hund und die katze", "de")] * 50 + [("der tag und die nacht", "de"), ("the dog and the cat", "en")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    many, once = language.train(docs), language.train(docs.distinct())
+    assert many.languages == once.languages and (many.table == once.table).all()
