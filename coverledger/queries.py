@@ -28,12 +28,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals to 6 places, doubles rounded to 6."""
+    """Decimals to 10 places, doubles rounded to 6."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("decimal(38,6)").alias(f.name)
+            c = c.cast("decimal(38,10)").alias(f.name)
         elif isinstance(f.dataType, T.DoubleType):
             c = F.round(c, 6).alias(f.name)
         out.append(c)

@@ -30,7 +30,7 @@ def compose(final: str, models: dict[str, str]) -> str:
 
 
 def finish(sql: str, decimals: str = "", doubles: str = "") -> str:
-    """Common types of the compared columns: decimals with 6 places, doubles rounded to 6."""
-    casts = [f"CAST({c} AS DECIMAL(38,6)) AS {c}" for c in decimals.split()]
+    """Common types of the compared columns: decimals with 10 places, doubles rounded to 6."""
+    casts = [f"CAST({c} AS DECIMAL(38,10)) AS {c}" for c in decimals.split()]
     casts += [f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in doubles.split()]
     return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql}) finished" if casts else sql

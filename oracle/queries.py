@@ -345,7 +345,7 @@ _QUERIES = {
     "s04_lineage": "SELECT o_orderkey, 'orders.parquet | portfolio' AS source_file, true AS has_load_time FROM orders",
     "s05_typed_clean": f"""SELECT row_key, {_date('d')} AS contract_start_date,
         CAST(trunc(TRY_CAST(i AS DOUBLE)) AS INTEGER) AS insurance_days_count,
-        CAST(TRY_CAST(trim(n) AS {A}) AS DECIMAL(38,6)) AS insurance_premium_policy, nullif(trim(t), '') AS region FROM ({_S05_TEXT}) x""",
+        CAST(TRY_CAST(trim(n) AS {A}) AS DECIMAL(38,10)) AS insurance_premium_policy, nullif(trim(t), '') AS region FROM ({_S05_TEXT}) x""",
     "s06_text_clean": f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate,
         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE trim(o_orderstatus, {_BLANK}) END AS status, CAST(o_custkey AS VARCHAR) AS o_custkey
         FROM orders""",
@@ -382,7 +382,7 @@ _QUERIES = {
         SELECT CAST(o_orderdate AS DATE) AS report_date, o_orderkey, o_orderstatus FROM orders
         WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT report_date FROM incoming) UNION ALL SELECT * FROM incoming""",
     "s15_typed_snapshot": """SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
-        CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(38,6)) AS o_totalprice, o_orderdate, o_orderpriority FROM orders""",
+        CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(38,10)) AS o_totalprice, o_orderdate, o_orderpriority FROM orders""",
     "s16_refresh_decision": """SELECT table_id, CASE WHEN n <= 5 THEN 'CREATED' WHEN loaded IS NULL THEN 'RELOADED'
             WHEN table_id % 2 = 0 THEN CASE WHEN loaded < changed THEN 'RELOADED' ELSE 'SKIPPED' END
             WHEN loaded < TIMESTAMP '2000-12-30 00:00:00' THEN 'RELOADED' ELSE 'SKIPPED' END AS decision
@@ -419,7 +419,7 @@ _QUERIES = {
         WHEN p_type ILIKE '%standard%' THEN 'never' WHEN p_type ILIKE '%med%' THEN 'Voluntary' END AS insurance_type FROM part""",
     "f07_semi_join": f"SELECT o.ins_id, o.anketa_id FROM ins_oplata o WHERE {_IN_FORCE}",
     "f08_row_tags": "SELECT ins_id, 21 AS source_query_id, 'Actual' AS scenario FROM ins_oplata",
-    "f09_typed_null": "SELECT tb_polis, CAST(NULL AS DECIMAL(38,6)) AS insurance_profit_volume_uzs FROM ins_rastorg",
+    "f09_typed_null": "SELECT tb_polis, CAST(NULL AS DECIMAL(38,10)) AS insurance_profit_volume_uzs FROM ins_rastorg",
     "j01_inner": "SELECT o.ins_id, b.ins_id AS bank_id, b.pym_date FROM ins_oplata o JOIN ins_bank_client b ON o.bc_id = b.ins_id",
     "j02_left_keys": finish(
         f"""SELECT d.report_month, d.client_id, d.deposit_amount, l.loan_amount FROM {_by_start('ins_invdep', 'depdate_from', 'dep_sum', 'deposit_amount')} d
