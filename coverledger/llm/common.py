@@ -17,9 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: ``spark.checkpoint.dir``, else one under the warehouse."""
+    """The shared folder for cut lineage: ``spark.checkpoint.dir``; without a cluster, where that
+    is unset, one under the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return folder.rstrip("/")
 
