@@ -863,7 +863,8 @@ def _(b: Bridge) -> DataFrame:
 
 def _new_folder(b: Bridge, name: str) -> str:
     """A new folder among the shared ones of the session, removed when the application ends."""
-    shared = checkpoint_dir(b.spark, b.spark.conf.get("spark.sql.warehouse.dir"))
+    alone = b.spark.sparkContext.master.startswith("local")  # without a cluster any folder is shared
+    shared = checkpoint_dir(b.spark, b.spark.conf.get("spark.sql.warehouse.dir") if alone else None)
     path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     place = b.spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = b.spark._jsparkSession.sessionState().newHadoopConf()
