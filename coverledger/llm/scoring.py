@@ -23,12 +23,10 @@ BITS_PER_ENTRY = 10
 PAIR_BASE, WORD_BASE, LEVELS = 1.5, 1.25, 120
 #: Words whose counts every worker holds; the counts of the others are joined.
 COMMON = 150_000
-#: Documents, on average, on which the interpolation weights are fitted.
-FITTED = 2000
 #: Text that a task counts, and words that it remembers, before it sends what it has.
 COUNTED_BYTES, COUNTED_WORDS = 4 << 20, 250_000
-#: Words that a worker remembers; rows that it takes up, and bytes of text that it scores, together.
-REMEMBERED, TOGETHER, SCORED_BYTES = 100_000, 200, 1 << 20
+#: Words that a worker remembers; rows that it takes up together.
+REMEMBERED, TOGETHER = 100_000, 200
 WEIGHTS = np.arange(0, 1, 0.05)
 END = b" "  # no word has a blank in it
 
@@ -125,19 +123,6 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(k, TOGETHER)
 
 
-def groups_of(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """All texts in order, in groups that end with the text that takes them over SCORED_BYTES."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size > SCORED_BYTES:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 class Hashes(dict):
     """Hashes of words; remembers a bounded number."""
 
@@ -160,33 +145,6 @@ class _Numbers(dict):
         return number
 
 
-class Vocabulary:
-    """What the model knows of the words met; remembers a bounded number of them."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers = _Numbers()
-        self.hash, self.level = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """The number of every word, by which ``hash``, ``level`` and ``count`` are read."""
-        if len(self.numbers) > REMEMBERED:
-            self._forget()
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        if new := self.numbers.new:
-            own = np.array([xxhash.xxh64_intdigest(w, 42) for w in new], np.uint64)
-            counts = [self.model.common.get(w, 0) for w in new]
-            self.hash = np.concatenate((self.hash, own))
-            self.level = np.concatenate((self.level, self.model.words.levels(own)))
-            self.count = np.concatenate((self.count, np.array(counts, np.int64)))
-            self.numbers.new = []
-        return numbers
-
-
 def pair_keys(words: np.ndarray) -> np.ndarray:
     """Keys of the pairs of one text: its end stands before the first word as well. 48 bits."""
     with np.errstate(over="ignore"):
@@ -255,11 +213,6 @@ def _counted(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(scan, "word string, n long, segment int, keys binary, counts binary")
 
 
-def filter_bits(entries: int, most: int) -> int:
-    """A power of two with room for the entries, ``most`` at most."""
-    return min(most, max(1 << 16, 1 << (entries * BITS_PER_ENTRY).bit_length()))
-
-
 def _collect_filter(segments: DataFrame, bits: int, base: float) -> tuple[Filter, np.ndarray]:
     """The filter from its segments, and the least count of each. Always ``bits`` bits in all."""
     table = np.zeros((SEGMENTS, bits // SEGMENTS // 8), np.uint8)
@@ -344,55 +297,12 @@ class Model:
         return np.log10((1 - weight) * alone + weight * after)
 
 
-def _fit_weights(texts: DataFrame, shared, documents: int) -> np.ndarray:
-    """For each level of the first word, the weight of the pair model that makes a sample of the
-    training texts likeliest. Each token is scored as if it had not been counted."""
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit("weights"), "text"), 11) / float(1 << 53)
-    sample = texts.filter(draw < min(1.0, FITTED / max(documents, 1)))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(shared.value)
-        sums = np.zeros((LEVELS + 1, len(WEIGHTS)))
-        for batch in slices(batches):
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                own = words_of(text)
-                own.append(END)
-                n = known.of(own)
-                context, alone, after = shared.value.parts(known.hash[n], known.level[n], 1)
-                for k, w in enumerate(WEIGHTS):
-                    logs = np.log10((1 - w) * alone + w * after)
-                    sums[:, k] += np.bincount(context, logs, minlength=LEVELS + 1)
-        level, weight = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(level, pa.int32()), pa.array(weight, pa.int32()), pa.array(sums[level, weight])],
-            ["level", "weight", "log"],
-        )
-
-    rows = (
-        sample.mapInArrow(scan, "level int, weight int, log double")
-        .groupBy("level", "weight")
-        .agg(F.sum("log").alias("log"))
-        .collect()
-    )
-    sums = np.full((LEVELS + 1, len(WEIGHTS)), -np.inf)
-    for r in rows:
-        sums[r["level"], r["weight"]] = r["log"]
-    best = WEIGHTS[sums.argmax(axis=1)]
-    return np.where(np.isinf(sums).all(axis=1), 0.0, best)
-
-
 def held_out(id_col: str) -> Column:
     """Whether a document's checksum puts it in the fold that is not learned from."""
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     return F.crc32(F.encode(name, "UTF-8")) % 7 == 2
 
 
-def _routed(rows: DataFrame, octets: int | None, id_col: str) -> DataFrame:
-    from coverledger.llm import routed
-
-    return routed.score(rows, octets or 0).withColumnRenamed("id", id_col)
-
-
 def score(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -408,129 +318,17 @@ def score(
     an id counts as one with an empty id; repeated rows are scored each. If all are held out or
     the table is empty, no count is known and the base score is 0.
 
-    A corpus whose words and pairs do not surely all fit filters of ``pair_bits`` and ``word_bits`` is
-    scored by ``routed.score``, which holds all of them whatever their number. In a smaller one,
-    words and word pairs of all training texts are counted; their counts, as levels of a
-    logarithm, go into two Bloom filters of fixed size whose segments are built apart, each from
-    the keys that hash to it. Filters, the exact counts of the COMMON most frequent words and one
-    weight per level are all that is broadcast. A token's probability mixes that of the word and
-    that of the word after the one before it, both read from the filters by probing level after
-    level. Exact counts of words that are not common come by a join on the word.
+    There is one model at all sizes, that of ``routed.score``: words and pairs of all training
+    texts go to segments, each with a filter of its own that has room for all of its pairs, and the
+    weights come from all training texts. ``pair_bits`` and ``word_bits`` are taken for callers that
+    give them and change nothing.
     """
-    spark = docs.sparkSession
+    from coverledger.llm import routed
+
     rows = docs.select(
         F.col(id_col).alias("id"),
         held_out(id_col).alias("held_out"),
         F.coalesce(text_col, F.lit("")).alias("text"),
     )
-    size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    most = (size[0] or 0) // 2 + 2 * size[1]  # a word and its blank take two bytes at least
-    # A pair is entered once at most for each time it was seen, a word twice.
-    if filter_bits(2 * most, 1 << 62) > pair_bits or filter_bits(4 * most, 1 << 62) > word_bits:
-        return _routed(rows, size[0], id_col)
-    training = rows.filter(~F.col("held_out")).select("text")
-    counted = cut(_counted(training), "counted")
-    words = cut(
-        counted.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "words"
-    )
-    level = F.floor(F.log2("n")).cast("int")
-    sizes = words.groupBy(level.alias("level"), (F.col("word") == " ").alias("is_end")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("words")
-    )
-    sizes = sizes.collect()  # a row or two for each power of two
-    tokens, distinct = sum(r["n"] for r in sizes), sum(r["words"] for r in sizes)
-    documents = sum(r["n"] for r in sizes if r["is_end"])
-    floor, held = 1 << 62, 0
-    for k in sorted({r["level"] for r in sizes}, reverse=True):
-        held += sum(r["words"] for r in sizes if r["level"] == k)
-        if held > COMMON:
-            break
-        floor = 1 << k
-    common = {r["word"].encode(): r["n"] for r in words.filter(F.col("n") >= floor).collect()}
-    sent = counted.filter("segment is not null").agg(F.sum("n")).first()[0] or 0
-    pairs, least = _pair_filter(counted, filter_bits(2 * sent, pair_bits))
-    filter_ = _word_filter(words, filter_bits(4 * distinct, word_bits))
-    if max(least.max(), filter_.least.max()) > 1:  # a few words with many levels can fill a segment
-        return _routed(rows, size[0], id_col)
-    model = Model(tokens, distinct, common, filter_, pairs, least, 0.0, np.zeros(LEVELS + 1))
-    bounds = F.array(*(F.lit(float(c)) for c in least_count(np.arange(1, LEVELS + 1), WORD_BASE)))
-    middles = (
-        least_count(np.arange(LEVELS + 1), WORD_BASE) + most_count(np.arange(LEVELS + 1), WORD_BASE)
-    ) / 2
-    own_level = F.size(F.filter(bounds, lambda b: b <= F.col("n")))
-    estimate = F.element_at(F.array(*(F.lit(float(m)) for m in middles)), own_level + 1)
-    model.mass = words.groupBy("n").agg(F.count("*").alias("words")).agg(
-        F.sum(estimate * F.col("words"))
-    ).first()[0] or 0.0
-    shared = spark.sparkContext.broadcast(model)
-    weights = _fit_weights(training, shared, documents)
-
-    def scored_rows(texts: list[bytes], m: Model, vocabulary: Vocabulary) -> list[tuple]:
-        groups = [words_of(t) + [END] for t in texts]
-        size = np.array([len(g) for g in groups])
-        ends = np.cumsum(size)
-        flat = [w for g in groups for w in g]
-        number = vocabulary.of(flat)
-        counts = vocabulary.count[number]
-        base = np.where(counts > 0, np.log10((counts + 1) / (m.tokens + m.distinct + 1)), 0)
-        logs = m.logs(vocabulary.hash[number], vocabulary.level[number])
-        sums = [np.add.reduceat(x, ends - size).tolist() for x in ((counts > 0).astype(np.int64), base, logs)]
-        rare = np.flatnonzero(counts == 0)
-        cuts = np.searchsorted(rare, ends).tolist()
-        out, at = [], 0
-        for n, known, base_sum, log_sum, upto in zip(size.tolist(), *sums, cuts):
-            more = Counter(flat[k] for k in rare[at:upto].tolist())
-            out.append((n, known, base_sum, log_sum, list(more), list(more.values())))
-            at = upto
-        return out
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        m.weights, vocabulary = weights, Vocabulary(m)
-        for batch in slices(batches):
-            out = []
-            for texts in groups_of(batch.column(2).cast(pa.binary()).to_pylist()):
-                out += scored_rows(texts, m, vocabulary)
-            n, known, base, total, rare, times = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(n, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(total, pa.float64()),
-                    pa.array(rare, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                    pa.array(times, pa.list_(pa.int64())),
-                ],
-                ["id", "held_out", "n_tokens", "known", "base", "score", "rare", "times"],
-            )
-
-    kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(
-        scan,
-        f"id {kind}, held_out boolean, n_tokens long, known long, base double, score double, "
-        "rare array<string>, times array<long>",
-    )
-    scored = cut(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    tokens_of = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t"))
-    tokens_of = tokens_of.select("row", F.col("t.rare").alias("word"), F.col("t.times").alias("times"))
-    n = F.coalesce("n", F.lit(0))
-    per_row = (
-        tokens_of.join(words.filter(F.col("n") < floor), "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.col("times") * F.log10((n + 1) / F.lit(tokens + distinct + 1))).alias("more"),
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("also"),
-        )
-    )
-    joined = scored.drop("rare", "times").join(per_row, "row", "left")
-    return joined.select(
-        F.col("id").alias(id_col),
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    octets = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    return routed.score(rows, octets or 0).withColumnRenamed("id", id_col)

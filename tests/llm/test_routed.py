@@ -67,6 +67,19 @@ def test_scores_do_not_depend_on_the_bits(spark, sf_dir):
     assert sum(small.values()) == pytest.approx(sum(large.values()), rel=0.01)
 
 
+def test_one_model_at_all_sizes(spark, monkeypatch):
+    """Neither the bits asked for nor the size of the text chooses another model."""
+    seen = []
+    routed_score = routed.score
+    monkeypatch.setattr(routed, "score", lambda rows, octets: seen.append(octets) or routed_score(rows, octets))
+    docs = spark.createDataFrame([(k, "a b a c " * (k + 1)) for k in range(20)], "doc_id long, text string")
+    large = sorted(map(tuple, scoring.score(docs).collect()))
+    assert large == sorted(map(tuple, scoring.score(docs, **SMALL).collect()))
+    assert len(seen) == 2
+    want = dict(plain_scores([(k, "a b a c " * (k + 1)) for k in range(20)]))
+    assert {r[0]: r[6] for r in large} == pytest.approx(want, rel=0.002)
+
+
 def test_probabilities_of_a_context_add_up_to_one_at_most():
     words = {"x": 4, "y": 2, "z": 2}
     level = {w: int(scoring.level_of(np.array([n]), scoring.WORD_BASE)[0]) for w, n in words.items()}
