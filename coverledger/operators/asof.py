@@ -18,9 +18,13 @@ def rate_days(rates: DataFrame, currency: str, published: str, rate: str) -> Dat
     """
     spec = Window.partitionBy("_currency").orderBy("_from")
     intervals = (
-        rates.groupBy(F.col(currency).alias("_currency"), F.col(published).cast("timestamp_ntz").alias("_from"))
-        .agg(F.max(rate).alias("_rate"))
+        rates.select(
+            F.col(currency).alias("_currency"), F.col(published).cast("timestamp_ntz").alias("_from"), F.col(rate).alias("_rate")
+        )
         .filter(F.col("_currency").isNotNull() & F.col("_from").isNotNull())
+        .repartition("_currency")  # one shuffle for the aggregate and the window
+        .groupBy("_currency", "_from")
+        .agg(F.max("_rate").alias("_rate"))
         .withColumn("_to", F.lead("_from").over(spec))
     )
     last_day = F.coalesce(

@@ -181,36 +181,52 @@ def policies_in_force(raw: Raw) -> DataFrame:
     return in_force.select(F.col("tb_anketa").alias("_in_force"))
 
 
+def _in_home_currency():
+    return F.coalesce(F.col("opl_val") == money.HOME_CURRENCY, F.lit(False))
+
+
+def paid_amount():
+    """The amount of a payment that its premium is made of: payments of any type but 3 in a foreign
+    currency have it in ``opl_summa``, all others in ``oplata``."""
+    abroad = (F.col("ins_type") != 3) & ~_in_home_currency()
+    return F.when(abroad, F.col("opl_summa")).otherwise(F.col("oplata"))
+
+
 def _linked_payments(raw: Raw, contracts: DataFrame) -> DataFrame:
     """Payments of types 1 (any but 3) and 22 (type 3, bank payment status 2), with the columns
     of ``contracts`` (key ``_contract``).
 
     Both kinds need the same joins, so one pass serves them. The policy check and the
     contract come first: both use the contract key, so one shuffle serves both. Only
-    foreign payments of type 1 need a rate.
+    foreign payments of type 1 need a rate. It comes last: by then the planner has measured the
+    rates and broadcasts them if they are small, and the payments are not shuffled for it. A payment
+    carries one amount, and a day and a rate only where these are read.
     """
+    foreign = (F.col("ins_type") != 3) & (F.col("opl_val") != money.HOME_CURRENCY)
     payments = raw("ins_oplata").filter(F.col("ins_type").isNotNull()).select(
-        "anketa_id", "bc_id", "ins_type", "opl_val", "opl_data", "oplata", "opl_summa", "val_kurs"
+        "anketa_id",
+        "bc_id",
+        "ins_type",
+        "opl_val",
+        F.when(foreign, F.col("opl_data")).alias("opl_data"),
+        paid_amount().alias("paid"),
+        F.when((F.col("ins_type") == 3) & ~_in_home_currency(), F.col("val_kurs")).alias("val_kurs"),
     )
     bank = raw("ins_bank_client").select(
         F.col("ins_id").alias("_bank_id"), F.col("pym_date").cast("date").alias("payment_date"), F.col("status").alias("_status")
     )
     linked = payments.join(policies_in_force(raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
-    linked = linked.join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
-    foreign = (F.col("ins_type") != 3) & (F.col("opl_val") != money.HOME_CURRENCY)
-    linked = with_rate(linked, raw("ins_kurs"), "opl_val", "opl_data", needed=foreign)
-    return linked.join(
+    linked = linked.join(contracts, F.col("anketa_id") == F.col("_contract"), "left").drop("_contract")
+    linked = linked.join(
         bank, (F.col("bc_id") == F.col("_bank_id")) & ((F.col("ins_type") != 3) | (F.col("_status") == 2)), "inner"
-    )
+    ).drop("bc_id", "_bank_id", "_status")
+    return with_rate(linked, raw("ins_kurs"), "opl_val", "opl_data", needed=foreign)
 
 
 def _payment_premium():
     """Premium of a linked payment in the home currency."""
-    bank_linked = money.convert(
-        F.col("opl_val"), F.col("oplata"), F.col("oplata"), money.rate_or_one(F.col("val_kurs"))
-    )
-    ordinary = money.convert(F.col("opl_val"), F.col("oplata"), F.col("opl_summa"), F.col("rate"))
-    return F.when(F.col("ins_type") != 3, ordinary).otherwise(bank_linked)
+    rate = F.when(F.col("ins_type") != 3, F.col("rate").cast(money.RATE)).otherwise(money.rate_or_one(F.col("val_kurs")))
+    return money.convert(F.col("opl_val"), F.col("paid"), F.col("paid"), rate)
 
 
 def general_premium_rows(raw: Raw) -> DataFrame:
