@@ -574,10 +574,11 @@ def market_volumes(w) -> DataFrame:
 def volume_premiums(w) -> DataFrame:
     """Premium and liability of both years per product, with the stored rate (default 1).
 
-    One pass over the payments serves ordinary and bank-linked payments.
+    One pass over the payments serves ordinary and bank-linked payments. The bank's payments come
+    first: they are those of two years, so only payments of these are shuffled on.
     """
     payments = w.raw("ins_oplata").filter(F.col("ins_type").isNotNull()).select(
-        "anketa_id", "polis_id", "bc_id", "ins_type", "opl_val", "oplata", "opl_summa", "val_kurs"
+        "anketa_id", "polis_id", "bc_id", "ins_type", "opl_val", curated.paid_amount().alias("paid"), "val_kurs"
     )
     bank = (
         w.raw("ins_bank_client")
@@ -589,17 +590,18 @@ def volume_premiums(w) -> DataFrame:
     ordinary = F.col("ins_type") != 3
     rate = money.rate_or_one(F.col("val_kurs"))
     linked = (
-        payments.join(curated.policies_in_force(w.raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
+        payments.join(bank, (F.col("bc_id") == F.col("_bank_id")) & (ordinary | (F.col("_status") == 2)), "inner")
+        .drop("bc_id", "_bank_id", "_status")
+        .join(curated.policies_in_force(w.raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
         .join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
-        .join(bank, (F.col("bc_id") == F.col("_bank_id")) & (ordinary | (F.col("_status") == 2)), "inner")
+        .drop("anketa_id", "_contract")
         .join(policies, F.col("polis_id") == F.col("_policy"), "inner")
     )
-    foreign_premium = F.when(ordinary, F.col("opl_summa")).otherwise(F.col("oplata"))
     liability = F.when(
         ordinary, money.convert(F.col("opl_val"), F.col("ins_otv"), F.col("ins_otv"), rate)
     ).otherwise(money.amount_or_zero(F.col("ins_otv")).cast(money.CONVERTED))
     return linked.groupBy("pay_year", "pturi_id").agg(
-        F.sum(money.convert(F.col("opl_val"), F.col("oplata"), foreign_premium, rate)).alias("prem"),
+        F.sum(money.convert(F.col("opl_val"), F.col("paid"), F.col("paid"), rate)).alias("prem"),
         F.sum(liability).alias("liab"),
     )
 
