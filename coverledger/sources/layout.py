@@ -34,6 +34,8 @@ CONTRACT_KEYS = {
 DATES = {"ins_bank_client": "pym_date", "ins_viplati": "date_viplata", "ins_rastorg": "tb_dateras"}
 #: Bytes of stored files in a bucket; buckets at least and at most.
 BUCKET_BYTES, LEAST, MOST = 256 << 20, 8, 65536
+#: Slots of a hash in which rows are counted to find hot contracts: at least, and for each bucket.
+LEAST_SLOTS, SLOTS_A_BUCKET = 1 << 16, 64
 MONTH = "_month"
 POINTER, RUN = "_published-", "run="
 
@@ -137,14 +139,27 @@ def bucket_count(sizes: Iterable[int]) -> int:
 def hot_keys(tables: dict[str, DataFrame], buckets: int) -> list:
     """Keys with more rows in one table than a bucket's share; fewer than buckets a table.
 
-    Counts are summed before the shuffle, and only keys above the share reach the driver.
+    A key above the share makes a slot of a hash above it, so rows are first counted by slot, of
+    which there are few to shuffle whatever the number of keys. Only the keys of slots above the
+    share, fewer than buckets a table as well, are then counted one by one.
     """
-    parts = []
+    slots = max(LEAST_SLOTS, SLOTS_A_BUCKET * buckets)
+    keyed, shares, full = {}, {}, []
     for name, df in tables.items():
-        counts = df.groupBy(F.col(CONTRACT_KEYS[name]).cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-        share = df.agg(F.count(F.lit(1)) / buckets).scalar()
-        parts.append(counts.filter(F.col("n") > share).select("key"))
-    return sorted({r.key for r in reduce(DataFrame.unionByName, parts).collect()}, key=lambda k: (k is None, k))
+        key = F.col(CONTRACT_KEYS[name]).cast("string").alias("key")
+        slot = F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot")
+        keyed[name], shares[name] = df.select(key, slot), df.agg(F.count(F.lit(1)) / buckets).scalar()
+        counts = keyed[name].groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > shares[name])
+        full.append(counts.select(F.lit(name).alias("name"), "slot"))
+    found: dict[str, list[int]] = {}
+    for row in reduce(DataFrame.unionByName, full).collect():
+        found.setdefault(row.name, []).append(row.slot)
+    parts = []
+    for name, held in found.items():
+        counts = keyed[name].filter(F.col("slot").isin(held)).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.filter(F.col("n") > shares[name]).select("key"))
+    rows = reduce(DataFrame.unionByName, parts).collect() if parts else []
+    return sorted({r.key for r in rows}, key=lambda k: (k is None, k))
 
 
 def _is_hot(key: Column, hot: list) -> Column:
