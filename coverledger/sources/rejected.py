@@ -8,6 +8,9 @@ read back to fill the side table: table, row key, column, text and reason.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coverledger.sources.sinks import drop_slice, has_files, write_slices
@@ -29,15 +32,17 @@ def with_rejected(df: DataFrame, texts: dict[str, Column], kinds: dict[str, str]
 
     ``texts`` gives the trimmed text of each typed column, ``kinds`` the types.
     """
+    lost = {c: text.isNotNull() & F.col(c).isNull() for c, text in texts.items()}
     tests = [
         F.when(
-            text.isNotNull() & F.col(c).isNull(),
+            lost[c],
             F.struct(F.lit(c).alias("column_name"), text.alias("text"), reason_for(text, kinds[c]).alias("reason")),
         )
         for c, text in texts.items()
     ]
+    # The array is made once, and only for rows that have something to put into it.
     found = F.array_compact(F.array(*tests))
-    return df.withColumn(REJECTED, F.when(F.size(found) > 0, found))
+    return df.withColumn(REJECTED, F.when(reduce(or_, lost.values(), F.lit(False)), found))
 
 
 def rejected_count() -> Column:
