@@ -112,3 +112,23 @@ def test_open_balances_do_not_grow_with_contract_length(spark):
 def test_market_mart_reads_two_years(spark, sf_dir):
     plan = plan_of(marts.volume_terminations(Bridge(spark, sf_dir).warehouse()))
     assert "1999-01-01" in plan and "2001-01-01" in plan
+
+
+def test_rates_come_last_and_payments_carry_one_amount(spark):
+    """The exchange on the bank's key holds no rate, and no payment is shuffled with two amounts."""
+    tables = hot_tables(spark, hot=False)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        lines = plan_of(curated.general_premium_rows(tables.get)).splitlines()
+    depth = {k: next(len(x) - len(x.lstrip(" :+-|*")) for x in lines if f"Exchange hashpartitioning({k}" in x)
+             for k in ("opl_val_of_rate", "bc_id", "anketa_id")}
+    assert depth["opl_val_of_rate"] < depth["bc_id"] < depth["anketa_id"]
+    payments = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(anketa_id" in x)
+    assert "paid#" in lines[payments + 1] and "AS oplata" not in lines[payments + 1]
+
+
+def test_volumes_join_the_years_of_the_bank_first(spark, sf_dir):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        lines = plan_of(marts.volume_premiums(Bridge(spark, sf_dir).warehouse())).splitlines()
+    depth = {k: next(len(x) - len(x.lstrip(" :+-|*")) for x in lines if f"Exchange hashpartitioning({k}" in x)
+             for k in ("bc_id", "anketa_id", "polis_id")}
+    assert depth["polis_id"] < depth["anketa_id"] < depth["bc_id"]
