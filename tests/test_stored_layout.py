@@ -175,3 +175,20 @@ def test_shared_parts_are_joined_once(spark, raw, tmp_path, monkeypatch):
     plain = Warehouse(raw, AS_OF, REINSURANCE_YEARS)
     for name in ("insurance_premium", "agency_commissions", "premium_sums", "bank_partner_performance_monthly"):
         assert values(w[name]) == values(plain[name]), name
+
+
+def test_hot_contracts_are_sought_by_slots(spark, monkeypatch):
+    """Keys are counted one by one only in slots above a share, and only if there are any."""
+    n = F.col("id")
+    even = spark.range(1000).select((n % 500).alias("anketa_id"))
+    hot = spark.range(1000).select(F.when(n % 2 == 0, F.lit(7)).when(n % 5 == 0, F.lit(None)).otherwise(n).alias("anketa_id"))
+    collected = []
+    collect = type(even).collect
+    monkeypatch.setattr(type(even), "collect", lambda df: collected.append(df.columns) or collect(df))
+    assert layout.hot_keys({"ins_oplata": even, "ins_polis": even.select(F.col("anketa_id").alias("tb_anketa"))}, 8) == []
+    assert collected == [["name", "slot"]]
+    assert layout.hot_keys({"ins_oplata": even}, 1) == layout.hot_keys({"ins_oplata": even.limit(0)}, 8) == []
+    assert layout.hot_keys({"ins_oplata": hot}, 16) == ["7", None]
+    monkeypatch.setattr(layout, "LEAST_SLOTS", 1)
+    monkeypatch.setattr(layout, "SLOTS_A_BUCKET", 1)  # many keys share a slot
+    assert set(layout.hot_keys({"ins_oplata": hot}, 16)) == {None, "7"}
