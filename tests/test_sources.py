@@ -179,3 +179,15 @@ def test_investment_rows(spark):
 def test_unsplit_database_read_is_refused(spark):
     with pytest.raises(ValueError, match="partition column"):
         snapshots.read_snapshot(spark, "jdbc:none", "big_table")
+
+
+def test_rejected_values_are_gathered_once(spark):
+    from coverledger.sources.rejected import REJECTED, with_rejected
+
+    rows = spark.createDataFrame([("1", "2"), ("x", "y"), (None, "7z"), ("5", None)], "a string, b string")
+    typed = rows.select("a", "b", *[F.col(c).try_cast("int").alias(f"n_{c}") for c in "ab"])
+    df = with_rejected(typed, {f"n_{c}": F.col(c) for c in "ab"}, {"n_a": "int", "n_b": "int"})
+    found = [None if r[0] is None else [(v.column_name, v.text, v.reason) for v in r[0]] for r in df.select(REJECTED).collect()]
+    fits = "does not fit int"
+    assert found == [None, [("n_a", "x", "no number"), ("n_b", "y", "no number")], [("n_b", "7z", fits)], None]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("filter(array(") == 1
