@@ -585,6 +585,8 @@ def volume_premiums(w) -> DataFrame:
         .filter(year_range(F.col("pym_date"), w.prior_year, w.current_year))
         .select(F.col("ins_id").alias("_bank_id"), F.year("pym_date").alias("pay_year"), F.col("status").alias("_status"))
     )
+    # Keys once each and not a semi join, which the planner would move below the bank's payments.
+    in_force = curated.policies_in_force(w.raw).distinct()
     contracts = w.raw("ins_anketa").select(F.col("ins_id").alias("_contract"), "ins_otv")
     policies = _policy_products(w)
     ordinary = F.col("ins_type") != 3
@@ -592,9 +594,9 @@ def volume_premiums(w) -> DataFrame:
     linked = (
         payments.join(bank, (F.col("bc_id") == F.col("_bank_id")) & (ordinary | (F.col("_status") == 2)), "inner")
         .drop("bc_id", "_bank_id", "_status")
-        .join(curated.policies_in_force(w.raw), F.col("anketa_id") == F.col("_in_force"), "left_semi")
+        .join(in_force, F.col("anketa_id") == F.col("_in_force"), "inner")
         .join(contracts, F.col("anketa_id") == F.col("_contract"), "left")
-        .drop("anketa_id", "_contract")
+        .drop("anketa_id", "_in_force", "_contract")
         .join(policies, F.col("polis_id") == F.col("_policy"), "inner")
     )
     liability = F.when(
