@@ -5,11 +5,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 
 from coverledger.llm import components, exact, simhash, substrings
 from tests.llm.cases import SCHEMA, empty_docs, odd_docs, odd_rows, words
@@ -169,3 +173,99 @@ def test_substrings_keep_the_largest_id(spark):
     rows = [((1 << 63) - 1, words), (None, words), (3, words)]
     got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["n_removed"]) for r in got} == {((1 << 63) - 1, 25), (None, 25), (3, 0)}
+
+
+def test_substrings_of_odd_words(spark):
+    """Words that differ in the last byte only, at lengths around whole eights, and all blanks."""
+    rng = random.Random(13)
+    lengths = [1, 2, 7, 8, 9, 15, 16, 17, 24, 127, 128, 129, 200, 1100]
+    line = ["x" * (n - 1) + c for n in lengths for c in "ab\0"]
+    texts = [" ".join(line)]
+    for k in range(len(line)):  # the same passage with one word changed
+        texts.append(" ".join([*line[:k], line[(k + 1) % len(line)], *line[k + 1 :]]))
+    texts.append("".join(w + rng.choice(" \t\n\v\f\r") * rng.randint(1, 3) for w in line))
+    texts += ["  ".join(line[20:]) + "\n", " " + " ".join(line[:19]), "a " * 50, "a" + " a" * 30]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(tuple(r) for r in got) == plain_removal(rows, 20)
+
+
+class Here:
+    """Stands for the keyed documents; what is mapped over them runs, and is counted, here."""
+
+    sparkSession = SimpleNamespace(conf=SimpleNamespace(get=lambda name: "3"))
+
+    def __init__(self, parts, calls):
+        self.parts, self.calls = parts, calls
+
+    def repartition(self, n, column):
+        sent = pa.Table.from_batches([b for part in self.parts for b in part])
+        at = np.array(sent[column].to_pylist()) % n
+        parts = [sent.take(np.flatnonzero(at == k)).to_batches() for k in range(n)]
+        return Here(parts, self.calls)
+
+    def mapInArrow(self, work, schema):
+        def count(frame, event, arg):
+            self.calls[0] += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            parts = [list(work(iter(part))) for part in self.parts]
+        finally:
+            sys.setprofile(None)
+        return Here(parts, self.calls)
+
+
+def repeats_here(texts, monkeypatch):
+    """The repeated windows that are found, those there are, and the calls for each word."""
+    n_words = sum(len(t.split()) for t in texts)
+    monkeypatch.setattr(substrings, "hot_minimisers", lambda *a: (np.zeros(0, np.uint64), n_words))
+    columns = [pa.array(range(len(texts)), pa.int64())] * 2 + [pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc", "key", "text"])
+    calls = [0]
+    found = substrings.repeated_windows(Here([[batch]], calls))
+    got = set()
+    for b in (b for part in found.parts for b in part):
+        for doc, _, start, n in zip(*(c.to_pylist() for c in b.columns)):
+            got.update((doc, at) for at in range(start, start + n))
+    seen, want = set(), set()
+    for k, words_of in enumerate(t.split() for t in texts):
+        for at in range(len(words_of) - 19):
+            window = tuple(words_of[at : at + 20])
+            if window in seen:
+                want.add((k, at))
+            seen.add(window)
+    return got, want, calls[0] / n_words
+
+
+def test_substrings_work_on_whole_arrays(monkeypatch):
+    """Python calls are made for runs and texts, not for each word: CPU seconds a GB."""
+    rng = random.Random(17)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(2000)) for _ in range(10)]
+    texts += [texts[3], "new " + texts[5], " ".join(texts[7].split()[100:200])]
+    got, want, calls = repeats_here(texts, monkeypatch)
+    assert got == want and len(got) > 4000
+    assert calls < 0.2
+
+
+def test_substrings_of_words_with_one_hash(monkeypatch):
+    """Equal hashes of other words remove nothing and hide nothing."""
+    monkeypatch.setattr(
+        substrings.Words, "_hashes", lambda self: (self.ends - self.starts).astype(np.uint64)
+    )
+    rng = random.Random(19)
+    texts = [words(rng, 300) for _ in range(6)] + ["ab " * 40, "cd " * 40]
+    texts += [texts[2], texts[4][9:], " ".join(reversed(texts[1].split()))]
+    got, want, _ = repeats_here(texts, monkeypatch)
+    assert got == want and got
+
+
+def test_substrings_pack_numbers_small():
+    """Ids, places and counts fill few of their bytes, whatever the keys: shuffle and disk."""
+    rng = np.random.default_rng(23)
+    keys = rng.integers(-(1 << 63), (1 << 63) - 1, 2000)
+    columns = [np.arange(-1000, 1000), keys, rng.integers(0, 500, 2000), rng.integers(1, 19, 2000)]
+    numbers = np.stack([*columns], 1)
+    planes = substrings._planes(numbers[3:])
+    assert (substrings._from_planes(planes) == numbers[3:]).all()
+    assert len(zstandard.ZstdCompressor(level=1).compress(planes)) < 16 * 2000
